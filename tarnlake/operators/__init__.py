@@ -2,6 +2,7 @@ from tarnlake.operators.audit import audit_database, audit_tables
 from tarnlake.operators.collections import replace_collections
 from tarnlake.operators.gold import (
     customer_line_totals,
+    customer_line_totals_by_key,
     monthly_product_count,
     monthly_product_count_by_key,
     purchase_value,
@@ -11,7 +12,7 @@ from tarnlake.operators.gold import (
 )
 from tarnlake.operators.preview import preview, top
 from tarnlake.operators.roles import Role, enrich
-from tarnlake.operators.skew import HotKeys, find_hot_keys, salted_join
+from tarnlake.operators.skew import HotKeys, find_hot_keys, join_counted, salted_join
 from tarnlake.operators.tables import create_gold, write_dim
 
 __all__ = [
@@ -21,8 +22,10 @@ __all__ = [
     "audit_tables",
     "create_gold",
     "customer_line_totals",
+    "customer_line_totals_by_key",
     "enrich",
     "find_hot_keys",
+    "join_counted",
     "monthly_product_count",
     "monthly_product_count_by_key",
     "preview",

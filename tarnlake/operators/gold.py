@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnlake.operators.roles import Role, enrich
-from tarnlake.operators.skew import HotKeys, salted_join
+from tarnlake.operators.skew import join_counted
 
 
 def monthly_product_count(silver: DataFrame, by_year: bool = False) -> DataFrame:
@@ -60,7 +60,7 @@ def monthly_product_count_by_key(
     )
 
 
-def customer_line_totals(silver: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+def customer_line_totals(silver: DataFrame) -> DataFrame:
     """One row per order line, with the line count of its customer.
 
     The count is aggregated first (map-side, so a customer of any size is one small
@@ -69,18 +69,32 @@ def customer_line_totals(silver: DataFrame, hot: HotKeys | None = None) -> DataF
     """
     totals = (
         silver.groupBy(F.col("customer_key").alias("CustomerID"))
-        .agg(F.count("product_key").alias("ProductCount"))
+        .agg(F.count("product_key").alias("ProductCount"), F.count(F.lit(1)).alias("lines"))
     )
-    if hot is not None:
-        totals = totals.withColumn("__total_key", F.col("CustomerID"))
-        joined = salted_join(silver, totals, "customer_key", "__total_key", "inner", hot)
-    else:
-        joined = silver.join(totals, F.col("customer_key") == F.col("CustomerID"))
-    return joined.select(
-        "CustomerID",
+    lines = silver.select(
+        "customer_key",
         F.col("customer_last_name").alias("CustomerName"),
         F.col("product_key").alias("ProductNumber"),
-        "ProductCount",
+    )
+    return join_counted(lines, totals, "customer_key", "CustomerID", "lines").select(
+        "CustomerID", "CustomerName", "ProductNumber", "ProductCount"
+    )
+
+
+def customer_line_totals_by_key(facts: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+    """``customer_line_totals`` of facts not yet enriched.
+
+    The name is put to the customer's count instead of to each line, so lines are joined
+    once and carry two keys. Names are those of now, not of when a line was loaded.
+    """
+    totals = facts.groupBy("customer_key").agg(
+        F.count("product_key").alias("ProductCount"), F.count(F.lit(1)).alias("lines")
+    )
+    name = Role("dim_customer", "customer_key", "customer_key", {"last_name": "CustomerName"})
+    named = enrich(totals, dims, [name]).withColumnRenamed("customer_key", "CustomerID")
+    lines = facts.select("customer_key", F.col("product_key").alias("ProductNumber"))
+    return join_counted(lines, named, "customer_key", "CustomerID", "lines").select(
+        "CustomerID", "CustomerName", "ProductNumber", "ProductCount"
     )
 
 

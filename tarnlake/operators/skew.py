@@ -1,8 +1,9 @@
 """Joins of a fact to a unique-key side when a few keys hold much of the fact.
 
-Adaptive execution already splits a skewed sort-merge join. The salted join below is
-for the places it does not reach, such as the stateful part of a stream, or a session
-that runs without it.
+Adaptive execution splits a skewed sort-merge join whose two inputs are plain shuffles,
+as those of ``enrich`` are. It leaves alone a join to an aggregate on the same key, which
+is what ``join_counted`` is for, and does nothing in a session that runs without it,
+where ``salted_join`` can stand in.
 """
 
 from __future__ import annotations
@@ -63,3 +64,18 @@ def salted_join(
     right = dim.withColumn("__dim_salt", F.explode(copies))
     same = (F.col(fact_key) == F.col(dim_key)) & (F.col("__fact_salt") == F.col("__dim_salt"))
     return left.join(right, same, how).drop("__fact_salt", "__dim_salt", dim_key)
+
+
+def join_counted(
+    facts: DataFrame, counted: DataFrame, fact_key: str, key: str, rows: str, share: float = 1e-4
+) -> DataFrame:
+    """``facts`` inner-joined to ``counted``, which has one row per key with its fact count.
+
+    Keys with at least ``share`` of all counted facts are at most ``1 / share``, so they
+    are broadcast and their facts are never shuffled. All other facts are shuffled by
+    key, and no such key holds more than ``share`` of them.
+    """
+    least = counted.agg(F.sum(rows) * F.lit(share)).scalar()
+    hot = F.broadcast(counted.where(F.col(rows) >= least))
+    same = F.col(fact_key) == F.col(key)
+    return facts.join(hot, same).unionByName(facts.join(hot, same, "left_anti").join(counted, same))

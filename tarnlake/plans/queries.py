@@ -13,6 +13,7 @@ from tarnlake.operators import (
     audit_database,
     create_gold,
     customer_line_totals,
+    customer_line_totals_by_key,
     enrich,
     find_hot_keys,
     monthly_product_count,
@@ -29,7 +30,7 @@ from tarnlake.plans.lake import Lake
 from tarnlake.plans.landing import JSON_TIMESTAMPS, land_arrays, land_lines
 from tarnlake.plans.sample_star import SampleStar
 from tarnlake.plans.star import DIMENSION_KEYS, INVENTORY_TRANSACTIONS, ORDERS, PURCHASE_ORDERS, Feed
-from tarnlake.plans.workspace import run_folder
+from tarnlake.plans.workspace import run_folder, stored
 from tarnlake.sources import infer_schema_once, read_csv_dim, read_documents, scan_documents
 from tarnlake.streaming import append_stream, stream_json
 
@@ -71,7 +72,16 @@ def monthly_orders_from_silver(spark: SparkSession, folder: str) -> DataFrame:
 
 def customer_totals(spark: SparkSession, folder: str) -> DataFrame:
     star = SampleStar(spark, folder)
-    return customer_line_totals(enrich(star.order_facts(), star.dims, [CUSTOMER_ROLE]))
+    facts = star.order_facts().select("customer_key", "product_key")
+    return customer_line_totals_by_key(stored(facts, run_folder(spark, "facts")), star.dims)
+
+
+def customer_totals_from_silver(spark: SparkSession, folder: str) -> DataFrame:
+    star = SampleStar(spark, folder)
+    silver = enrich(star.order_facts(), star.dims, [CUSTOMER_ROLE]).select(
+        "customer_key", "customer_last_name", "product_key"
+    )
+    return customer_line_totals(stored(silver, run_folder(spark, "silver")))
 
 
 def value_by_supplier_product(spark: SparkSession, folder: str) -> DataFrame:
@@ -316,6 +326,7 @@ QUERIES: dict[str, Query] = {
     "monthly_orders_by_customer_and_year": monthly_orders_by_customer_and_year,
     "monthly_orders_from_silver": monthly_orders_from_silver,
     "customer_line_totals": customer_totals,
+    "customer_line_totals_from_silver": customer_totals_from_silver,
     "value_by_supplier_product": value_by_supplier_product,
     "value_by_supplier_product_as_loaded": value_by_supplier_product_as_loaded,
     "top_purchase_values": top_purchase_values,

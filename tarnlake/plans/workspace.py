@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def run_folder(spark: SparkSession, purpose: str) -> str:
@@ -20,3 +20,13 @@ def run_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.gettempdir()
     return f"{base.rstrip('/')}/tarnlake-{purpose}-{uuid4().hex[:12]}"
+
+
+def stored(df: DataFrame, folder: str) -> DataFrame:
+    """``df`` written once and read back, for a result that several branches scan.
+
+    Cuts the lineage: the branches, and tasks rerun after a lost executor, scan files
+    instead of repeating the joins behind ``df``.
+    """
+    df.write.parquet(folder)
+    return df.sparkSession.read.parquet(folder)

@@ -52,7 +52,7 @@ def scan_documents(
     The sort runs before the projection, so a field may be sorted on and left out.
     """
     df = documents
-    if conditions:
+    if isinstance(conditions, Column) or conditions:
         df = df.where(_condition(conditions))
     if sort:
         keys = [(key, 1) if isinstance(key, str) else key for key in sort]

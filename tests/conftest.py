@@ -1,0 +1,40 @@
+import sys
+from pathlib import Path
+
+import pytest
+from pyspark.sql import SparkSession
+
+sys.path[:0] = [str(Path(__file__).parent), str(Path(__file__).parent.parent)]
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = (
+        SparkSession.builder.master("local[8]")
+        .appName("tarnlake-tests")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def conf(spark):
+    """Set session options for one test."""
+    before = {}
+
+    def put(**options):
+        for name, value in options.items():
+            name = name.replace("__", ".")
+            before.setdefault(name, spark.conf.get(name, None))
+            spark.conf.set(name, value)
+
+    yield put
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)

@@ -1,0 +1,154 @@
+from collections import Counter, defaultdict
+
+import pytest
+from fixtures import ORDERS_CLEAN, ORDERS_ODD, PURCHASES, TRANSACTIONS, bag, dims, frame, order, purchase
+
+from tarnlake.operators import (
+    customer_line_totals,
+    customer_line_totals_by_key,
+    enrich,
+    monthly_product_count,
+    monthly_product_count_by_key,
+    preview,
+    purchase_value,
+    purchase_value_as_loaded,
+    quarter_quantities_by_product,
+    quarter_quantities_by_product_key,
+    top,
+)
+from tarnlake.plans.star import INVENTORY_TRANSACTIONS, ORDERS, PURCHASE_ORDERS
+
+
+@pytest.fixture(scope="module")
+def star(spark):
+    return dims(spark)
+
+
+# Lines of one customer in one month name of two years, and a customer with most lines.
+MANY = [*ORDERS_CLEAN, *ORDERS_ODD, order(15, customer_key=2), order(16, order_date_key=20240504)] + [
+    order(20 + n, customer_key=3, fact_order_key=5, order_date_key=20240510) for n in range(30)
+]
+
+
+@pytest.fixture(scope="module")
+def silver(spark, star):
+    df = enrich(frame(spark, MANY, ORDERS.schema), star, ORDERS.roles, ORDERS.silver_columns)
+    rows = df.collect()
+    return spark.createDataFrame(rows, df.schema), rows
+
+
+def test_monthly_counts_lines_by_customer_and_month(silver):
+    df, rows = silver
+    expected = Counter(
+        (r.customer_key, r.customer_last_name, r.customer_first_name, r.order_month_name) for r in rows
+    )
+    result = monthly_product_count(df)
+    assert result.columns == ["CustomerID", "LastName", "FirstName", "OrderMonth", "ProductCount"]
+    assert bag(result.collect()) == Counter((*key, n) for key, n in expected.items())
+    # Namesakes stay apart by their key; an unknown day is a group of its own.
+    assert {r.CustomerID for r in result.where("LastName = 'Brown'").collect()} == {2, 4}
+    assert result.where("OrderMonth IS NULL").count() == 1
+
+
+def test_months_merge_years_unless_asked(spark):
+    rows = [(1, "A", "B", y, "May", p) for y, p in ((2023, 1), (2024, 1), (2024, None))]
+    df = spark.createDataFrame(
+        rows,
+        "customer_key bigint, customer_last_name string, customer_first_name string, "
+        "order_year int, order_month_name string, product_key bigint",
+    )
+    assert [r.ProductCount for r in monthly_product_count(df).collect()] == [2]
+    by_year = monthly_product_count(df, by_year=True)
+    assert bag(by_year.collect()) == bag([(1, "A", "B", 2023, "May", 1), (1, "A", "B", 2024, "May", 1)])
+
+
+def test_monthly_by_key_equals_the_silver_form(spark, star):
+    # Products and shippers that exist, since the key form joins customer and date only.
+    rows = [r for r in MANY if r["product_key"] and r["shipper_key"]]
+    facts = frame(spark, rows, ORDERS.schema)
+    full = enrich(facts, star, ORDERS.roles, ORDERS.silver_columns)
+    for by_year in (False, True):
+        a, b = monthly_product_count(full, by_year), monthly_product_count_by_key(facts, star, by_year=by_year)
+        assert a.columns == b.columns
+        assert bag(a.collect()) == bag(b.collect())
+
+
+def test_customer_totals_keep_every_line(silver):
+    df, rows = silver
+    totals = Counter(r.customer_key for r in rows)
+    expected = bag((r.customer_key, r.customer_last_name, r.product_key, totals[r.customer_key]) for r in rows)
+    result = customer_line_totals(df)
+    assert result.columns == ["CustomerID", "CustomerName", "ProductNumber", "ProductCount"]
+    assert bag(result.collect()) == expected
+    assert max(expected.values()) > 1  # duplicates are kept as duplicates
+
+
+def test_customer_totals_drop_null_customers_and_count_products(spark):
+    df = spark.createDataFrame(
+        [(1, "A", 5), (1, "A", None), (None, "B", 5), (2, "C", None)],
+        "customer_key bigint, customer_last_name string, product_key bigint",
+    )
+    expected = [(1, "A", 5, 1), (1, "A", None, 1), (2, "C", None, 0)]
+    assert bag(customer_line_totals(df).collect()) == bag(expected)
+
+
+def test_customer_totals_by_key_equal_the_silver_form(spark, star):
+    rows = [r for r in MANY if r["product_key"] and r["shipper_key"]]
+    facts = frame(spark, rows, ORDERS.schema)
+    full = enrich(facts, star, ORDERS.roles, ORDERS.silver_columns)
+    assert bag(customer_line_totals_by_key(facts, star).collect()) == bag(customer_line_totals(full).collect())
+
+
+def brute_value(rows, suppliers, products):
+    value = defaultdict(float)
+    for r in rows:
+        if r["supplier_key"] in suppliers and r["product_key"] in products:
+            name, price = products[r["product_key"]]
+            value[suppliers[r["supplier_key"]], name] += r["po_detail_quantity"] * price
+    return Counter((*key, round(v, 6)) for key, v in value.items())
+
+
+def test_purchase_value_merges_names(spark, star):
+    rows = [*PURCHASES, purchase(9, product_key=4), purchase(10, product_key=5), purchase(12, product_key=4)]
+    suppliers = {r.supplier_key: r.company for r in star["dim_supplier"].collect()}
+    products = {r.product_key: (r.product_name, r.list_price) for r in star["dim_product"].collect()}
+    facts = frame(spark, rows, PURCHASE_ORDERS.schema)
+    result = purchase_value(facts, star)
+    assert result.columns == ["supplier_company", "product_name", "total_list_price"]
+    got = Counter((a, b, round(v, 6)) for a, b, v in result.collect())
+    assert got == brute_value(rows, suppliers, products)
+
+
+def test_purchase_value_now_and_as_loaded(spark, star):
+    columns = [c for c in PURCHASE_ORDERS.silver_columns if c not in ("receipt_time", "source_file")]
+    silver = enrich(frame(spark, PURCHASES, PURCHASE_ORDERS.schema), star, PURCHASE_ORDERS.roles, columns)
+    loaded = {tuple(r[:2]): r[2] for r in purchase_value_as_loaded(silver).collect()}
+    assert loaded == {tuple(r[:2]): r[2] for r in purchase_value(silver, star).collect()}
+    dearer = dict(star, dim_product=star["dim_product"].selectExpr(
+        "product_key", "'New ' || product_name AS product_name", "list_price * 2 AS list_price"
+    ))
+    now = {tuple(r[:2]): r[2] for r in purchase_value(silver, dearer).collect()}
+    assert now == {(s, f"New {p}"): 2 * v for (s, p), v in loaded.items()}
+
+
+def test_quarter_quantities(spark, star):
+    facts = frame(spark, TRANSACTIONS, INVENTORY_TRANSACTIONS.schema)
+    names = {r.product_key: r.product_name for r in star["dim_product"].collect()}
+    expected = Counter()
+    for r in TRANSACTIONS:
+        day = r["transaction_created_date_key"]
+        quarter = None if day is None else (day // 100 % 100 + 2) // 3
+        expected[quarter, r["inventory_transaction_type"], names.get(r["product_key"])] += r["quantity"]
+    result = quarter_quantities_by_product(quarter_quantities_by_product_key(facts, star), star)
+    assert result.columns == ["created_quarter", "inventory_transaction_type", "product_name", "total_quantity"]
+    assert {tuple(r[:3]): r[3] for r in result.collect()} == dict(expected)
+    by_year = quarter_quantities_by_product(quarter_quantities_by_product_key(facts, star, by_year=True), star)
+    assert by_year.columns[:2] == ["created_quarter", "created_year"]
+
+
+def test_preview_and_top(spark):
+    df = spark.createDataFrame([(3, 5), (1, 9), (2, 9), (4, 1)], "k bigint, v bigint")
+    assert [r.k for r in preview(df, "k", 2).collect()] == [1, 2]
+    assert [r.k for r in top(df, "v", ["k"], 3).collect()] == [1, 2, 3]
+    for result in (preview(df, "k", 2), top(df, "v", ["k"], 3)):
+        assert "TakeOrderedAndProject" in result._jdf.queryExecution().executedPlan().toString()
