@@ -33,6 +33,14 @@ class Role:
         return cls(dim, fact_key, dim_key, {name: f"{prefix}_{name}" for name in attrs}, how)
 
 
+def _needed(roles: Sequence[Role], columns: Sequence[str] | None) -> list[Role]:
+    # A left role neither drops nor repeats facts, so without a wanted column it is idle.
+    if columns is None:
+        return list(roles)
+    wanted = set(columns)
+    return [role for role in roles if role.how == "inner" or wanted & set(role.attrs.values())]
+
+
 def _ordered(roles: Sequence[Role]) -> list[Role]:
     # Dimension keys are unique, so the joins commute. Inner roles go first: they only
     # shrink the fact, and a left role before them would carry rows they drop.
@@ -46,8 +54,9 @@ def enrich(
     columns: Sequence[str] | None = None,
     hot: Mapping[str, HotKeys] | None = None,
 ) -> DataFrame:
-    """Join every role to ``facts`` (batch or streaming) and select ``columns``.
+    """Join the roles to ``facts`` (batch or streaming) and select ``columns``.
 
+    Left roles none of whose attributes are among ``columns`` are left out.
     Dimension keys must be unique (``audit_tables`` counts duplicates), else facts
     multiply. No join is forced: Spark broadcasts a dimension whose size is under
     ``spark.sql.autoBroadcastJoinThreshold`` and shuffles a larger one, where adaptive
@@ -57,7 +66,7 @@ def enrich(
     that do not yet carry the attributes of the small, broadcast ones.
     """
     df = facts
-    for number, role in enumerate(_ordered(roles)):
+    for number, role in enumerate(_ordered(_needed(roles, columns))):
         key = f"__dim_key_{number}"
         dim = dims[role.dim].select(
             F.col(role.dim_key).alias(key),

@@ -67,7 +67,7 @@ def salted_join(
 
 
 def join_counted(
-    facts: DataFrame, counted: DataFrame, fact_key: str, key: str, rows: str, share: float = 1e-4
+    facts: DataFrame, counted: DataFrame, fact_key: str, key: str, rows: str, share: float = 1e-5
 ) -> DataFrame:
     """``facts`` inner-joined to ``counted``, which has one row per key with its fact count.
 

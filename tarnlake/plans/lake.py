@@ -45,7 +45,7 @@ class Lake:
     database: str
     root: str
     fmt: str = "parquet"
-    max_files: int = FILES_PER_BATCH
+    max_files: int | None = FILES_PER_BATCH
 
     def create(self, comment: str = "Lakehouse tables") -> Lake:
         self.spark.sql(
@@ -113,13 +113,13 @@ class Lake:
             **self._stream_folders(feed, "silver"),
         )
 
-    def gold_orders(self) -> tuple[DataFrame, DataFrame]:
-        """Monthly product counts, and order lines with their customer's total."""
-        silver = self.table(ORDERS.silver_table)
-        return (
-            self._gold(monthly_product_count(silver), GOLD_MONTHLY_ORDERS),
-            self._gold(customer_line_totals(silver), GOLD_PRODUCT_ORDERS),
-        )
+    def gold_monthly_orders(self) -> DataFrame:
+        """Order lines counted per customer and month name."""
+        return self._gold(monthly_product_count(self.table(ORDERS.silver_table)), GOLD_MONTHLY_ORDERS)
+
+    def gold_product_orders(self) -> DataFrame:
+        """Order lines, each with the line count of its customer."""
+        return self._gold(customer_line_totals(self.table(ORDERS.silver_table)), GOLD_PRODUCT_ORDERS)
 
     def gold_purchases(self) -> DataFrame:
         """Purchase value per supplier and product at current names and prices."""

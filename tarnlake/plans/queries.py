@@ -67,18 +67,22 @@ def monthly_orders_by_customer_and_year(spark: SparkSession, folder: str) -> Dat
 
 def monthly_orders_from_silver(spark: SparkSession, folder: str) -> DataFrame:
     star = SampleStar(spark, folder)
-    return monthly_product_count(enrich(star.order_facts(), star.dims, ORDERS.roles))
+    columns = (
+        "customer_key", "customer_last_name", "customer_first_name", "order_month_name", "product_key",
+    )
+    dims = star.dims_for(ORDERS.roles)
+    return monthly_product_count(enrich(star.order_facts(), dims, ORDERS.roles, columns))
 
 
 def customer_totals(spark: SparkSession, folder: str) -> DataFrame:
     star = SampleStar(spark, folder)
     facts = star.order_facts().select("customer_key", "product_key")
-    return customer_line_totals_by_key(stored(facts, run_folder(spark, "facts")), star.dims)
+    return customer_line_totals_by_key(stored(facts, run_folder(spark, "facts")), star.dims_of("dim_customer"))
 
 
 def customer_totals_from_silver(spark: SparkSession, folder: str) -> DataFrame:
     star = SampleStar(spark, folder)
-    silver = enrich(star.order_facts(), star.dims, [CUSTOMER_ROLE]).select(
+    silver = enrich(star.order_facts(), star.dims_of("dim_customer"), [CUSTOMER_ROLE]).select(
         "customer_key", "customer_last_name", "product_key"
     )
     return customer_line_totals(stored(silver, run_folder(spark, "silver")))
@@ -86,14 +90,16 @@ def customer_totals_from_silver(spark: SparkSession, folder: str) -> DataFrame:
 
 def value_by_supplier_product(spark: SparkSession, folder: str) -> DataFrame:
     star = SampleStar(spark, folder)
-    value = purchase_value(star.purchase_order_facts(), star.dims)
+    dims = star.dims_of("dim_product", "dim_supplier")
+    value = purchase_value(star.purchase_lines(), dims)
     return value.withColumn("total_list_price", F.round("total_list_price", 2))
 
 
 def value_by_supplier_product_as_loaded(spark: SparkSession, folder: str) -> DataFrame:
     star = SampleStar(spark, folder)
     roles = [role for role in PURCHASE_ORDERS.roles if role.how == "inner"]
-    value = purchase_value_as_loaded(enrich(star.purchase_order_facts(), star.dims, roles))
+    silver = enrich(star.purchase_lines(), star.dims_for(roles), roles)
+    value = purchase_value_as_loaded(silver)
     return value.withColumn("total_list_price", F.round("total_list_price", 2))
 
 
@@ -120,7 +126,7 @@ def _silver(spark: SparkSession, folder: str, feed: Feed) -> DataFrame:
         INVENTORY_TRANSACTIONS.name: star.inventory_transaction_facts,
     }[feed.name]()
     columns = [name for name in feed.silver_columns if name not in LINEAGE_COLUMNS]
-    return enrich(facts, star.dims, feed.roles, columns)
+    return enrich(facts, star.dims_for(feed.roles), feed.roles, columns)
 
 
 def orders_silver(spark: SparkSession, folder: str) -> DataFrame:
@@ -133,7 +139,7 @@ def orders_silver_salted(spark: SparkSession, folder: str) -> DataFrame:
     facts = star.order_facts()
     spread_by = ("fact_order_key", "product_key")
     hot = {key: find_hot_keys(facts, key, spread_by) for key in ("shipper_key", "employee_key")}
-    return enrich(facts, star.dims, ORDERS.roles, ORDERS.silver_columns, hot)
+    return enrich(facts, star.dims_for(ORDERS.roles), ORDERS.roles, ORDERS.silver_columns, hot)
 
 
 def purchase_silver(spark: SparkSession, folder: str) -> DataFrame:
@@ -150,8 +156,7 @@ def inventory_silver(spark: SparkSession, folder: str) -> DataFrame:
 def _orders_lake(spark: SparkSession, folder: str, purpose: str) -> Lake:
     star = SampleStar(spark, folder)
     lake = _lake(spark, purpose)
-    needed = {role.dim for role in ORDERS.roles}
-    lake.load_dims({name: df for name, df in star.dims.items() if name in needed})
+    lake.load_dims(star.dims_for(ORDERS.roles))
     land_lines(star.order_facts(), f"{lake.root}/landing")
     lake.bronze(ORDERS, f"{lake.root}/landing", multi_line=False)
     return lake
@@ -164,22 +169,19 @@ def orders_lake_silver(spark: SparkSession, folder: str) -> DataFrame:
 def orders_lake_monthly(spark: SparkSession, folder: str) -> DataFrame:
     lake = _orders_lake(spark, folder, "orders-gold")
     lake.silver(ORDERS)
-    monthly, _ = lake.gold_orders()
-    return monthly
+    return lake.gold_monthly_orders()
 
 
 def orders_lake_totals(spark: SparkSession, folder: str) -> DataFrame:
     lake = _orders_lake(spark, folder, "orders-totals")
     lake.silver(ORDERS)
-    _, totals = lake.gold_orders()
-    return totals
+    return lake.gold_product_orders()
 
 
 def purchases_lake_value(spark: SparkSession, folder: str) -> DataFrame:
     star = SampleStar(spark, folder)
     lake = _lake(spark, "purchases")
-    needed = {role.dim for role in PURCHASE_ORDERS.roles}
-    lake.load_dims({name: df for name, df in star.dims.items() if name in needed})
+    lake.load_dims(star.dims_for(PURCHASE_ORDERS.roles))
     land_lines(star.purchase_order_facts(), f"{lake.root}/landing")
     lake.bronze(PURCHASE_ORDERS, f"{lake.root}/landing", multi_line=False)
     lake.silver(PURCHASE_ORDERS)

@@ -7,12 +7,14 @@ order in progress has no payment day and part of it no shipper.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnlake.functions import date_dimension_for, date_key
+from tarnlake.operators.roles import Role
 
 
 def _priority() -> Column:
@@ -28,9 +30,12 @@ class SampleStar:
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
         self.folder = folder
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     @cached_property
     def dim_customer(self) -> DataFrame:
@@ -98,14 +103,16 @@ class SampleStar:
 
     @property
     def dims(self) -> dict[str, DataFrame]:
-        return {
-            "dim_customer": self.dim_customer,
-            "dim_date": self.dim_date,
-            "dim_employee": self.dim_employee,
-            "dim_product": self.dim_product,
-            "dim_shipper": self.dim_shipper,
-            "dim_supplier": self.dim_supplier,
-        }
+        return self.dims_of(
+            "dim_customer", "dim_date", "dim_employee", "dim_product", "dim_shipper", "dim_supplier"
+        )
+
+    def dims_of(self, *names: str) -> dict[str, DataFrame]:
+        return {name: getattr(self, name) for name in names}
+
+    def dims_for(self, roles: Iterable[Role]) -> dict[str, DataFrame]:
+        """The dimensions that play any of ``roles``."""
+        return self.dims_of(*{role.dim: None for role in roles})
 
     def _lines_with_orders(self) -> DataFrame:
         return self.table("lineitem").join(
@@ -164,6 +171,14 @@ class SampleStar:
             F.when(filled, date_key("o_orderdate")).alias("approved_date_key"),
         )
 
+    def purchase_lines(self) -> DataFrame:
+        """The part of the purchase facts that needs no order: keys and quantity."""
+        return self.table("lineitem").select(
+            F.col("l_suppkey").alias("supplier_key"),
+            F.col("l_partkey").alias("product_key"),
+            F.col("l_quantity").cast("bigint").alias("po_detail_quantity"),
+        )
+
     def inventory_transaction_facts(self) -> DataFrame:
         return self.table("lineitem").select(
             _line_key().alias("fact_inventory_transaction_key"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import DataStreamReader
 from pyspark.sql.types import StringType, StructType
 
 CORRUPT_COLUMN = "_corrupt_record"
@@ -11,12 +12,16 @@ CORRUPT_COLUMN = "_corrupt_record"
 FILES_PER_BATCH = 1000
 
 
+def _bounded(reader: DataStreamReader, max_files: int | None) -> DataStreamReader:
+    return reader if max_files is None else reader.option("maxFilesPerTrigger", max_files)
+
+
 def stream_json(
     spark: SparkSession,
     landing: str,
     schema: str | StructType,
     multi_line: bool = True,
-    max_files: int = FILES_PER_BATCH,
+    max_files: int | None = FILES_PER_BATCH,
     keep_corrupt: bool = True,
     view: str | None = None,
     **options: str,
@@ -28,26 +33,29 @@ def stream_json(
     record and large files split; a line-delimited file read the other way yields its
     first record only. A record that does not parse becomes a row of nulls with its text
     in ``_corrupt_record``; with ``multi_line`` that is the whole file.
+
+    ``max_files`` bounds a micro-batch; to bound it by size instead, pass None and
+    ``maxBytesPerTrigger``.
     """
     if not isinstance(schema, StructType):
         schema = StructType.fromDDL(schema)
     if keep_corrupt and CORRUPT_COLUMN not in schema.names:
         schema = StructType([*schema.fields]).add(CORRUPT_COLUMN, StringType())
-    df = (
-        spark.readStream.schema(schema)
-        .options(multiLine=multi_line, maxFilesPerTrigger=max_files, **options)
-        .json(landing)
-    )
+    reader = _bounded(spark.readStream, max_files)
+    df = reader.schema(schema).options(multiLine=multi_line, **options).json(landing)
     if view:
         df.createOrReplaceTempView(view)
     return df
 
 
 def stream_table(
-    spark: SparkSession, table: str, max_files: int = FILES_PER_BATCH, view: str | None = None
+    spark: SparkSession,
+    table: str,
+    max_files: int | None = FILES_PER_BATCH,
+    view: str | None = None,
 ) -> DataFrame:
     """The rows appended to ``table``, each read once."""
-    df = spark.readStream.option("maxFilesPerTrigger", max_files).table(table)
+    df = _bounded(spark.readStream, max_files).table(table)
     if view:
         df.createOrReplaceTempView(view)
     return df

@@ -1,4 +1,6 @@
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from fixtures import ORDERS_CLEAN, ORDERS_ODD, PURCHASES, TRANSACTIONS, bag, dims, frame
 
 from tarnlake.operators import HotKeys, Role, enrich
@@ -47,6 +49,38 @@ def test_inventory_roles(spark, star):
     assert sum(r.transaction_created_quarter is None for r in rows) == 1
 
 
+def test_idle_left_roles_are_not_joined(spark, star):
+    facts = frame(spark, ORDERS_CLEAN + ORDERS_ODD, ORDERS.schema)
+    columns = ["fact_order_key", "paid_month_name"]
+    full = enrich(facts, star, ORDERS.roles).select(*columns)
+    narrow = enrich(facts, star, ORDERS.roles, columns)
+    assert bag(narrow.collect()) == bag(full.collect())
+    assert final_plan(narrow).count("LeftOuter") == 1 and final_plan(full).count("LeftOuter") == 3
+
+
+KEY = st.one_of(st.none(), st.integers(0, 4))
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(KEY, KEY), max_size=12), st.sets(st.integers(0, 4)), st.sets(st.integers(0, 4)))
+def test_enrichment_is_what_the_keys_say(spark, facts, inner_keys, left_keys):
+    roles = [
+        Role("l", "b", "k", {"v": "left_v"}, "left"),
+        Role("i", "a", "k", {"v": "inner_v"}),
+    ]
+    given_dims = {
+        name: spark.createDataFrame([(k, k * 10) for k in sorted(keys)], "k bigint, v bigint")
+        for name, keys in (("i", inner_keys), ("l", left_keys))
+    }
+    expected = [
+        (a, b, a * 10, b * 10 if b in left_keys else None) for a, b in facts if a in inner_keys
+    ]
+    result = enrich(
+        spark.createDataFrame(facts, "a bigint, b bigint"), given_dims, roles, ["a", "b", "inner_v", "left_v"]
+    )
+    assert bag(result.collect()) == bag(expected)
+
+
 def test_silver_shapes():
     assert [len(f.silver_columns) for f in FEEDS] == [50, 58, 23]
     assert ORDERS.silver_columns[:4] == ("fact_order_key", "order_key", "employee_key", "employee_last_name")

@@ -7,7 +7,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tarnlake.plans import star
-from tarnlake.sources import KeyRange, infer_schema_once, read_csv_dim, read_documents, scan_documents
+from tarnlake.sources import KeyRange, infer_schema_once, read_csv_dim, read_documents, read_jdbc, scan_documents
 from tarnlake.sources.jdbc import jdbc_options
 
 
@@ -78,6 +78,19 @@ def test_jdbc_options():
     assert "partitionColumn" not in jdbc_options("jdbc:x", "t")
 
 
+def test_jdbc_reaches_the_source_with_the_callers_options(spark):
+    # No database here: the source itself must be what refuses.
+    with pytest.raises(Exception, match="No suitable driver"):
+        read_jdbc(spark, "jdbc:nowhere:db", "dim_date", {"user": "u"})
+    with pytest.raises(Exception, match="no.such.Driver"):
+        read_jdbc(spark, "jdbc:nowhere:db", "dim_date", {"driver": "no.such.Driver"}, view="v")
+
+
+def test_a_missing_connector_is_named(spark):
+    with pytest.raises(Exception, match="mongodb"):
+        read_documents(spark, "mongodb", ["k"], uri="x")
+
+
 def test_schema_is_inferred_once(spark, tmp_path):
     land_array(tmp_path / "in", "1.json", [{"k": 1, "paid": None, "v": 2}])
     args = (spark, str(tmp_path / "in"), str(tmp_path / "schema"))

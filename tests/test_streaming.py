@@ -61,6 +61,24 @@ def test_bronze_adds_lineage_and_drops_nothing(spark, tmp_path):
     assert bronze.where("receipt_time IS NULL").count() == 0
 
 
+def test_receipt_time_is_one_value_per_micro_batch(spark, tmp_path):
+    lk, landing = lake(spark, tmp_path / "lake", max_files=1), tmp_path / "in"
+    for number in range(3):
+        land_array(landing, f"{number}.json", ORDERS_CLEAN[number::3])
+    bronze = lk.bronze(ORDERS, str(landing))
+    assert bronze.select("receipt_time", "source_file").distinct().count() == 3
+    assert bronze.select("receipt_time").distinct().count() == 3
+
+
+def test_batches_bounded_by_size(spark, tmp_path):
+    lk, landing = lake(spark, tmp_path / "lake", max_files=None), tmp_path / "in"
+    for number in range(3):
+        land_array(landing, f"{number}.json", ORDERS_CLEAN)
+    bronze = lk.bronze(ORDERS, str(landing), maxBytesPerTrigger="1b")
+    assert bronze.count() == 3 * len(ORDERS_CLEAN)
+    assert bronze.select("receipt_time").distinct().count() == 3
+
+
 def test_a_csv_file_among_the_json(spark, tmp_path, star):
     lk, landing = lake(spark, tmp_path / "lake"), tmp_path / "in"
     lk.load_dims(star)
@@ -152,7 +170,7 @@ def test_orders_and_purchases_to_gold(spark, tmp_path, star):
         land_array(tmp_path / feed.name, "1.json", rows)
         lk.bronze(feed, str(tmp_path / feed.name))
         lk.silver(feed)
-    monthly, totals = lk.gold_orders()
+    monthly, totals = lk.gold_monthly_orders(), lk.gold_product_orders()
     assert monthly.agg(F.sum("ProductCount")).first()[0] == lk.table(ORDERS.silver_table).count()
     assert totals.count() == 10
     assert lk.table(GOLD_MONTHLY_ORDERS).count() == monthly.count()
@@ -176,6 +194,18 @@ def test_streaming_gold_follows_new_files(spark, tmp_path, star):
         assert bag(gold.collect()) == bag(batch.collect())
 
 
+def test_streaming_gold_with_rocksdb_state(spark, tmp_path, star, conf):
+    provider = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    conf(spark__sql__streaming__stateStore__providerClass=provider)
+    lk, landing = lake(spark, tmp_path / "lake"), tmp_path / "in"
+    lk.load_dims(star)
+    for number in range(2):
+        land_array(landing, f"{number}.json", [transaction(n) for n in range(10)])
+        lk.bronze(INVENTORY_TRANSACTIONS, str(landing))
+        gold = lk.gold_inventory()
+    assert gold.agg(F.sum("total_quantity")).first()[0] == 90
+
+
 def test_streaming_gold_before_any_row(spark, tmp_path):
     Path(tmp_path / "in").mkdir()
     lk = lake(spark, tmp_path / "lake")

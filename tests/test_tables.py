@@ -38,6 +38,18 @@ def test_collections_are_replaced_and_counted(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "out" / "b")).first().s == "ü"
 
 
+def test_collections_of_a_connector_namespace(spark, tmp_path):
+    # A connector names the collection by an option; the file sources' "path" is such a one.
+    land_array(tmp_path / "in", "a.json", [{"k": 1}, {"k": 2}])
+    name = str(tmp_path / "out" / "a")
+    for _ in range(2):
+        result = replace_collections(
+            spark, {name: str(tmp_path / "in" / "a.json")}, fmt="parquet", collection_option="path",
+            options={"compression": "gzip"},
+        )
+        assert bag(result.collect()) == bag([(name, 2)])
+
+
 def test_a_broken_collection_file_fails(spark, tmp_path):
     land_array(tmp_path / "in", "good.json", [{"k": 1}])
     (tmp_path / "in" / "bad.json").write_text('[{"k": 1}, {"k": ')
