@@ -74,7 +74,7 @@ def test_batches_bounded_by_size(spark, tmp_path):
     lk, landing = lake(spark, tmp_path / "lake", max_files=None), tmp_path / "in"
     for number in range(3):
         land_array(landing, f"{number}.json", ORDERS_CLEAN)
-    bronze = lk.bronze(ORDERS, str(landing), maxBytesPerTrigger="1b")
+    bronze = lk.bronze(ORDERS, str(landing), maxBytesPerTrigger="1")
     assert bronze.count() == 3 * len(ORDERS_CLEAN)
     assert bronze.select("receipt_time").distinct().count() == 3
 
