@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _quoted(text: str) -> str:
+def quoted(text: str) -> str:
+    """``text`` as a SQL string literal."""
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
@@ -32,7 +33,7 @@ def write_dim(
     writer.saveAsTable(table)
     spark = df.sparkSession
     if comment is not None:
-        spark.sql(f"COMMENT ON TABLE {table} IS {_quoted(comment)}")
+        spark.sql(f"COMMENT ON TABLE {table} IS {quoted(comment)}")
     return spark.table(table)
 
 

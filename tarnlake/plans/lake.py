@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +17,7 @@ from tarnlake.operators.gold import (
 )
 from tarnlake.operators.roles import enrich
 from tarnlake.operators.skew import HotKeys
-from tarnlake.operators.tables import create_gold, write_dim
+from tarnlake.operators.tables import create_gold, quoted, write_dim
 from tarnlake.plans.star import (
     DIMENSION_KEYS,
     GOLD_MONTHLY_ORDERS,
@@ -50,7 +50,7 @@ class Lake:
     def create(self, comment: str = "Lakehouse tables") -> Lake:
         self.spark.sql(
             f"CREATE DATABASE IF NOT EXISTS {self.database} "
-            f"COMMENT '{comment}' LOCATION '{self.root}/tables'"
+            f"COMMENT {quoted(comment)} LOCATION {quoted(self.root + '/tables')}"
         )
         return self
 
@@ -97,19 +97,30 @@ class Lake:
             **self._stream_folders(feed, "bronze"),
         )
 
-    def enriched(self, feed: Feed, hot: Mapping[str, HotKeys] | None = None) -> DataFrame:
-        """The silver rows of new bronze rows, as a stream not yet written."""
+    def enriched(
+        self,
+        feed: Feed,
+        hot: Mapping[str, HotKeys] | None = None,
+        columns: Sequence[str] | None = None,
+    ) -> DataFrame:
+        """The silver rows (or some columns of them) of new bronze rows, as a stream."""
         bronze = stream_table(self.spark, self.qualified(feed.bronze_table), self.max_files)
-        silver = enrich(bronze, self.dims(), feed.roles, feed.silver_columns, hot)
+        silver = enrich(bronze, self.dims(), feed.roles, columns or feed.silver_columns, hot)
         silver.createOrReplaceTempView(f"{feed.silver_table}_stream")
         return silver
 
-    def silver(self, feed: Feed, hot: Mapping[str, HotKeys] | None = None) -> DataFrame:
+    def silver(
+        self,
+        feed: Feed,
+        hot: Mapping[str, HotKeys] | None = None,
+        partition_by: Sequence[str] = (),
+    ) -> DataFrame:
         """Append new bronze rows, enriched with the dimensions as of this run."""
         return append_stream(
             self.enriched(feed, hot),
             self.qualified(feed.silver_table),
             fmt=self.fmt,
+            partition_by=partition_by,
             **self._stream_folders(feed, "silver"),
         )
 
@@ -130,8 +141,14 @@ class Lake:
         """Quantity per quarter, type and product, kept up by a complete-mode stream."""
         dims = self.dims()
         base = f"{self.root}/{INVENTORY_TRANSACTIONS.name}/gold"
+        transactions = self.enriched(
+            INVENTORY_TRANSACTIONS,
+            columns=(
+                "transaction_created_date_key", "inventory_transaction_type", "product_key", "quantity",
+            ),
+        )
         return complete_stream(
-            quarter_quantities_by_product_key(self.enriched(INVENTORY_TRANSACTIONS), dims),
+            quarter_quantities_by_product_key(transactions, dims),
             self.qualified(GOLD_QUARTER_QUANTITIES),
             checkpoint=f"{base}/checkpoint",
             path=f"{base}/data",

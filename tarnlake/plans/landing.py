@@ -14,16 +14,17 @@ def land_lines(df: DataFrame, landing: str) -> None:
     df.write.options(**JSON_TIMESTAMPS).mode("append").json(landing)
 
 
-def land_arrays(df: DataFrame, landing: str, key: str, per_file: int = 5_000) -> str:
-    """Append files of one JSON array each; return the pattern that reads them.
+def land_arrays(df: DataFrame, landing: str, per_file: int = 5_000) -> None:
+    """Append files of one JSON array each, of at most ``per_file`` records.
 
-    ``key`` must be a unique integer: a file then holds the rows of one stretch of
-    ``per_file`` key values, so no array grows with the data or with a repeated value.
+    Records are taken together by their position in the input, so no array grows with
+    the data or with a value that repeats.
     """
-    record = F.struct(*df.columns)
+    place = F.floor(F.monotonically_increasing_id() / per_file)
     arrays = (
-        df.groupBy(F.floor(F.col(key) / per_file).alias("stretch"))
-        .agg(F.to_json(F.collect_list(record), JSON_TIMESTAMPS).alias("value"))
+        df.select(place.alias("place"), F.struct(*df.columns).alias("record"))
+        .groupBy("place")
+        .agg(F.to_json(F.collect_list("record"), JSON_TIMESTAMPS).alias("value"))
+        .select("value")
     )
-    arrays.write.mode("append").partitionBy("stretch").text(landing)
-    return f"{landing}/stretch=*"
+    arrays.write.option("maxRecordsPerFile", 1).mode("append").text(landing)

@@ -136,7 +136,7 @@ def orders_silver(spark: SparkSession, folder: str) -> DataFrame:
 def orders_silver_salted(spark: SparkSession, folder: str) -> DataFrame:
     """Salted on the keys that hold most of the facts: few shippers, few employees."""
     star = SampleStar(spark, folder)
-    facts = star.order_facts()
+    facts = stored(star.order_facts(), run_folder(spark, "facts"))
     spread_by = ("fact_order_key", "product_key")
     hot = {key: find_hot_keys(facts, key, spread_by) for key in ("shipper_key", "employee_key")}
     return enrich(facts, star.dims_for(ORDERS.roles), ORDERS.roles, ORDERS.silver_columns, hot)
@@ -223,8 +223,10 @@ def bronze_event_arrays(spark: SparkSession, folder: str) -> DataFrame:
     """Files of one JSON array each."""
     events = SampleStar(spark, folder).table("events")
     lake = _lake(spark, "arrays")
-    landing = land_arrays(events, f"{lake.root}/landing", "event_id")
-    bronze = _events_bronze(events, lake.root, landing, lake.qualified("events_bronze"), True)
+    land_arrays(events, f"{lake.root}/landing")
+    bronze = _events_bronze(
+        events, lake.root, f"{lake.root}/landing", lake.qualified("events_bronze"), True
+    )
     return _without_lineage(bronze)
 
 
@@ -270,7 +272,7 @@ def audit_tables(spark: SparkSession, folder: str) -> DataFrame:
     return audit_database(spark, lake.database, DIMENSION_KEYS)
 
 
-def dimension_preview(spark: SparkSession, folder: str) -> DataFrame:
+def topk_preview(spark: SparkSession, folder: str) -> DataFrame:
     return preview(SampleStar(spark, folder).dim_customer, "customer_key")
 
 
@@ -348,7 +350,7 @@ QUERIES: dict[str, Query] = {
     "bronze_inferred": bronze_inferred,
     "dim_date": dim_date,
     "audit_tables": audit_tables,
-    "dimension_preview": dimension_preview,
+    "topk_preview": topk_preview,
     "gold_table": gold_table,
     "csv_dim": csv_dim,
     "document_scan": document_scan,

@@ -1,11 +1,10 @@
 from tarnlake.streaming.ingest import CORRUPT_COLUMN, stream_json, stream_table
-from tarnlake.streaming.sinks import append_stream, complete_stream, complete_view
+from tarnlake.streaming.sinks import append_stream, complete_stream
 
 __all__ = [
     "CORRUPT_COLUMN",
     "append_stream",
     "complete_stream",
-    "complete_view",
     "stream_json",
     "stream_table",
 ]

@@ -11,7 +11,6 @@ from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
 
 
 def append_stream(
@@ -53,8 +52,8 @@ def complete_stream(
     """Keep ``table`` equal to the whole streaming aggregate ``df``; return the table.
 
     After each micro-batch the complete result, as a batch frame, passes through
-    ``finish`` (joins, a further aggregate, a sort) and replaces the table. Replacing is
-    idempotent, so a repeated micro-batch does no harm. The aggregate's groups are the
+    ``finish`` (joins, a further aggregate) and replaces the table. ``df`` itself may end
+    in a sort, which streaming allows in this mode only. Replacing is idempotent, so a repeated micro-batch does no harm. The aggregate's groups are the
     state; for many of them run with the RocksDB state store provider.
     """
 
@@ -89,20 +88,3 @@ def _register(spark: SparkSession, table: str, path: str, fmt: str) -> bool:
         raise
     spark.catalog.createTable(table, path=path, source=fmt)
     return True
-
-
-def complete_view(df: DataFrame, name: str) -> StreamingQuery:
-    """Show a streaming aggregate as the in-memory table ``name``.
-
-    For looking at a small result by hand: the driver holds all of it. The aggregate may
-    end in a sort, which streaming allows in complete mode only. Nothing is kept across
-    runs. Stop the returned query when done.
-    """
-    query = (
-        df.writeStream.format("memory")
-        .queryName(name)
-        .outputMode("complete")
-        .start()
-    )
-    query.processAllAvailable()
-    return query

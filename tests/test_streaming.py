@@ -29,7 +29,7 @@ from tarnlake.plans.star import (
     PURCHASE_ORDERS,
 )
 from tarnlake.sources import read_csv_dim
-from tarnlake.streaming import complete_stream, complete_view, stream_json, stream_table
+from tarnlake.streaming import complete_stream, stream_json, stream_table
 
 
 @pytest.fixture(scope="module")
@@ -216,15 +216,33 @@ def test_streaming_gold_before_any_row(spark, tmp_path):
     assert table.columns == ["k", "v"] and table.count() == 0
 
 
-def test_sorted_complete_view(spark, tmp_path):
+def test_sorted_streaming_aggregate(spark, tmp_path):
+    lk = lake(spark, tmp_path / "lake")
     land_array(tmp_path / "in", "1.json", [transaction(n) for n in range(9)])
     stream = stream_json(spark, str(tmp_path / "in"), INVENTORY_TRANSACTIONS.schema)
     totals = stream.groupBy("product_key").agg(F.sum("quantity").alias("q")).orderBy(F.col("q").desc())
-    query = complete_view(totals, "quantities_now")
-    try:
-        assert [r.q for r in spark.table("quantities_now").collect()] == [11, 9, 7, 5, 4]
-    finally:
-        query.stop()
+    batches = []
+    table = complete_stream(
+        totals, lk.qualified("q"), str(tmp_path / "c"), str(tmp_path / "d"),
+        finish=lambda batch: batches.append([r.q for r in batch.collect()]) or batch,
+    )
+    assert batches == [[11, 9, 7, 5, 4]]
+    assert bag(table.select("q").collect()) == bag([(11,), (9,), (7,), (5,), (4,)])
+
+
+def test_partitioned_silver(spark, tmp_path, star):
+    lk, landing = lake(spark, tmp_path / "lake"), tmp_path / "in"
+    lk.load_dims(star)
+    rows = ORDERS_CLEAN + ORDERS_ODD
+    counts = []
+    for part in (rows[:6], rows[6:]):
+        land_array(landing, f"{len(counts)}.json", part)
+        lk.bronze(ORDERS, str(landing))
+        counts.append(lk.silver(ORDERS, partition_by=["order_year"]).count())
+    assert counts == [6, 10]
+    year = lk.table(ORDERS.silver_table).where("order_year = 2024")
+    assert "PartitionFilters: [isnotnull(order_year" in year._jdf.queryExecution().executedPlan().toString()
+    assert year.count() == 9
 
 
 def test_sql_over_streaming_views(spark, tmp_path, star):
