@@ -178,24 +178,42 @@ def orders_lake_totals(spark: SparkSession, folder: str) -> DataFrame:
     return lake.gold_product_orders()
 
 
-def purchases_lake_value(spark: SparkSession, folder: str) -> DataFrame:
+def _purchases_lake(spark: SparkSession, folder: str, purpose: str) -> Lake:
     star = SampleStar(spark, folder)
-    lake = _lake(spark, "purchases")
+    lake = _lake(spark, purpose)
     lake.load_dims(star.dims_for(PURCHASE_ORDERS.roles))
     land_lines(star.purchase_order_facts(), f"{lake.root}/landing")
     lake.bronze(PURCHASE_ORDERS, f"{lake.root}/landing", multi_line=False)
+    return lake
+
+
+def purchases_lake_silver(spark: SparkSession, folder: str) -> DataFrame:
+    return _without_lineage(_purchases_lake(spark, folder, "purchases-silver").silver(PURCHASE_ORDERS))
+
+
+def purchases_lake_value(spark: SparkSession, folder: str) -> DataFrame:
+    lake = _purchases_lake(spark, folder, "purchases-gold")
     lake.silver(PURCHASE_ORDERS)
     value = lake.gold_purchases()
     return value.withColumn("total_list_price", F.round("total_list_price", 2))
 
 
-def quantity_by_quarter_type_product(spark: SparkSession, folder: str) -> DataFrame:
+def _inventory_lake(spark: SparkSession, folder: str, purpose: str) -> Lake:
     star = SampleStar(spark, folder)
-    lake = _lake(spark, "inventory")
+    lake = _lake(spark, purpose)
     lake.load_dims({"dim_product": star.dim_product, "dim_date": star.ship_dates()})
     land_lines(star.inventory_transaction_facts(), f"{lake.root}/landing")
     lake.bronze(INVENTORY_TRANSACTIONS, f"{lake.root}/landing", multi_line=False)
-    return lake.gold_inventory()
+    return lake
+
+
+def inventory_lake_silver(spark: SparkSession, folder: str) -> DataFrame:
+    return _inventory_lake(spark, folder, "inventory-silver").silver(INVENTORY_TRANSACTIONS)
+
+
+def quantity_by_quarter_type_product(spark: SparkSession, folder: str) -> DataFrame:
+    """The streamed form: state in the stream, names put to the complete result."""
+    return _inventory_lake(spark, folder, "inventory-gold").gold_inventory()
 
 
 # Bronze
@@ -343,7 +361,9 @@ QUERIES: dict[str, Query] = {
     "orders_lake_silver": orders_lake_silver,
     "orders_lake_monthly": orders_lake_monthly,
     "orders_lake_totals": orders_lake_totals,
+    "purchases_lake_silver": purchases_lake_silver,
     "purchases_lake_value": purchases_lake_value,
+    "inventory_lake_silver": inventory_lake_silver,
     "bronze_events": bronze_events,
     "bronze_event_arrays": bronze_event_arrays,
     "bronze_restart": bronze_restart,

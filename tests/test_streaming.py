@@ -16,6 +16,7 @@ from fixtures import (
     order,
     transaction,
 )
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tarnlake.functions import date_dimension, with_lineage
@@ -96,6 +97,28 @@ def test_a_csv_file_among_the_json(spark, tmp_path, star):
     assert again.count() == 5 and again.where("paid_date_key IS NULL").count() == 2
 
 
+def test_other_modes_for_malformed_files(spark, tmp_path):
+    landing = tmp_path / "in"
+    land_csv(landing, "1.json", ORDERS_CLEAN)
+    land_array(landing, "2.json", ORDERS_CLEAN)
+    dropping = lake(spark, tmp_path / "drop").bronze(ORDERS, str(landing), mode="DROPMALFORMED")
+    assert dropping.count() == len(ORDERS_CLEAN)
+    with pytest.raises(StreamingQueryException):
+        lake(spark, tmp_path / "fail").bronze(ORDERS, str(landing), mode="FAILFAST")
+
+
+def test_a_failed_run_leaves_nothing_half_done(spark, tmp_path):
+    landing, root = tmp_path / "in", tmp_path / "lake"
+    land_array(landing, "1.json", ORDERS_CLEAN)
+    lk = lake(spark, root)
+    assert lk.bronze(ORDERS, str(landing)).count() == 7
+    land_csv(landing, "2.json", ORDERS_CLEAN)
+    with pytest.raises(StreamingQueryException):
+        lk.bronze(ORDERS, str(landing), mode="FAILFAST")
+    assert lk.table(ORDERS.bronze_table).count() == 7
+    assert lk.bronze(ORDERS, str(landing)).count() == 8  # permissive: the bad file is one row
+
+
 def test_line_delimited_files(spark, tmp_path):
     lk, landing = lake(spark, tmp_path / "lake"), tmp_path / "in"
     frame(spark, ORDERS_CLEAN, ORDERS_SCHEMA).write.json(str(landing))
