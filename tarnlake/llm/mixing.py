@@ -118,7 +118,8 @@ def _round(frames: Iterator[pd.DataFrame], seed: int) -> Iterator[pd.DataFrame]:
 
 
 def _level(rows: DataFrame, seed: int) -> DataFrame:
-    order = ["source_no", "node", "tie", "doc_id", "size"]
+    # Large documents meet first, so that what is left over at the end is small.
+    order = ["source_no", "node", F.col("size").desc(), "tie", "doc_id"]
     dealt = rows.repartition("source_no", "node").sortWithinPartitions(*order)
     return dealt.mapInPandas(lambda frames: _round(frames, seed), dealt.schema)
 
