@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from tarnlake.llm.jump_sharding import shard_of, with_shards, with_slots
 from tarnlake.llm.mixing import mix_sources
+from tarnlake.llm.toxicity import fit, held_out, with_toxicity
+from tarnlake.llm.winnowing import fingerprint, likeness, with_next, written
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,6 +21,37 @@ def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix_sources(table(spark, folder, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    machine = fit(docs, table(spark, folder, "labels"))
+    scored = with_toxicity(docs, machine)
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
+def op4_winnowing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+
+    def prints(paired: DataFrame) -> DataFrame:
+        half = F.floor(F.char_length("text") / 2).cast("int")
+        kept = F.substring("text", F.lit(1), F.char_length("text") - half)
+        edited = F.concat(kept, F.substring("next_text", F.lit(1), half))
+        return (
+            paired.withColumn("edited", edited)
+            .withColumn("fp", fingerprint(F.col("text")))
+            .withColumn("edited_fp", fingerprint(F.col("edited")))
+        )
+
+    return with_next(docs, prints).select(
+        "doc_id",
+        F.char_length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        written(F.col("fp")).alias("fingerprint"),
+        written(F.col("edited_fp")).alias("edited_fingerprint"),
+        likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"),
+        likeness(F.col("fp"), F.col("next_fp")).alias("near_next"),
+    )
+
+
 def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     text = F.coalesce("text", F.lit(""))
@@ -32,6 +65,8 @@ def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
+    "op3_toxicity": op3_toxicity,
+    "op4_winnowing": op4_winnowing,
     "op9_sharding": op9_sharding,
 }
 
