@@ -41,3 +41,37 @@ def number_within(
         .withColumn(out, F.col("__before") + F.col("__row"))
         .drop("__cell", "__row", "__group", "__of", "__before")
     )
+
+
+#: Most ranges: their bounds are constants of the plan.
+MAX_RANGES = 1 << 16
+
+
+def range_bounds(df: DataFrame, key: str, ranges: int) -> list[int]:
+    """Values of ``key``, at most ``ranges - 1`` and ``MAX_RANGES``, that cut it into ranges of about equal counts.
+
+    Every bound is a value that occurs and is above the smallest, so no range is empty.
+    """
+    ranges = max(1, min(MAX_RANGES, ranges))
+    if ranges == 1:
+        return []
+    shares = [i / ranges for i in range(1, ranges)]
+    row = df.agg(
+        F.percentile_approx(key, shares, max(10_000, 10 * ranges)).alias("at"), F.min(key).alias("first")
+    ).first()
+    return sorted({x for x in row["at"] or [] if x > row["first"]})
+
+
+def bucket_of(key: str, bounds: list[int]) -> Column:
+    """Number of bounds that are at most ``key``, by binary search; null counts as the last."""
+    if not bounds:
+        return F.lit(0)
+    table = F.split(F.lit(",".join(map(str, bounds))), ",").cast("array<bigint>")
+    steps = [1 << i for i in reversed(range(len(bounds).bit_length()))]
+
+    def step(found: Column, size: Column) -> Column:
+        there = found + size
+        inside = (there <= len(bounds)) & F.coalesce(F.get(table, there - 1) <= F.col(key), F.lit(True))
+        return F.when(inside, there).otherwise(found)
+
+    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), step)

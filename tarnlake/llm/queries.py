@@ -7,16 +7,33 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarnlake.llm.compact_windows import repeated_passages
 from tarnlake.llm.jump_sharding import shard_of, with_shards, with_slots
+from tarnlake.llm.line_templates import drop_recurring_lines
 from tarnlake.llm.mixing import mix_sources
+from tarnlake.llm.packing import pack_documents
+from tarnlake.llm.prob_minhash import near_duplicates
+from tarnlake.llm.subspace_join import near_vectors
+from tarnlake.llm.token_store import read_all, write_tokens
+from tarnlake.llm.tokens import public_tokenizer
 from tarnlake.llm.toxicity import fit, held_out, with_toxicity
 from tarnlake.llm.winnowing import fingerprint, likeness, with_next, written
 
+#: Ids of the public word tokenizer.
+VOCABULARY = 49_408
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_lines(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return drop_recurring_lines(docs).select(
+        "doc_id", "dropped_lines", F.char_length("text").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
 def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix_sources(table(spark, folder, "documents"))
 
@@ -52,6 +69,24 @@ def op4_winnowing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    store = write_tokens(docs, public_tokenizer(), end=1, vocabulary=VOCABULARY)
+    return read_all(store, digest=True)
+
+
+def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack_documents(table(spark, folder, "documents"), public_tokenizer(), end=2)
+
+
+def op7_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_passages(table(spark, folder, "documents"))
+
+
+def op8_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors(table(spark, folder, "embeddings"))
+
+
 def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     text = F.coalesce("text", F.lit(""))
@@ -63,11 +98,21 @@ def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return numbered.withColumn("law", F.lit("key"))
 
 
+def op10_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lines": op1_lines,
     "op2_mixing": op2_mixing,
     "op3_toxicity": op3_toxicity,
     "op4_winnowing": op4_winnowing,
+    "op5_tokens": op5_tokens,
+    "op6_packing": op6_packing,
+    "op7_passages": op7_passages,
+    "op8_embeddings": op8_embeddings,
     "op9_sharding": op9_sharding,
+    "op10_minhash": op10_minhash,
 }
 
 ORACLES: dict[str, str] = {}

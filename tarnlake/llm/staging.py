@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tarnlake.plans.workspace import run_folder, stored
 
@@ -34,3 +35,15 @@ class Stage:
             for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
                 path = hadoop.Path(folder)
                 path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: Rows of a written table up to which a join may copy it to every executor (some 100 MB).
+SMALL_ROWS = 1_000_000
+
+
+def small_or_not(written: DataFrame) -> DataFrame:
+    """A hint to copy a written table to all executors if its rows are few enough.
+
+    Its rows are counted from the files. Beyond the bound the join shuffles both sides.
+    """
+    return F.broadcast(written) if written.count() <= SMALL_ROWS else written

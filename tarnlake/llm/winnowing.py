@@ -1,11 +1,12 @@
 """Document fingerprints by winnowing (Schleimer, Wilkerson and Aiken, 2003), in SQL alone.
 
-The units are words. Every run of ``k`` words is hashed; of every ``w`` consecutive hashes
-the smallest is kept, the rightmost of equal ones, with its position. Any passage of at
-least ``w + k - 1`` words that two texts share leaves a common hash in both fingerprints,
-and no match of fewer than ``k`` words does.
+The units are words. In texts of fewer than ``w + k - 1`` words, too few for the guarantee
+below, they are characters, so a text without spaces has units too. Every run of ``k``
+units is hashed; of every ``w`` consecutive hashes the smallest is kept, the rightmost of
+equal ones, with its position. Any passage of at least ``w + k - 1`` units that two texts
+share leaves a common hash in both fingerprints, and no match of fewer than ``k`` does.
 
-A text of fewer than ``k`` words has one hash of all of them, one of fewer than ``w`` hashes
+A text of fewer than ``k`` units has one hash of all of them, one of fewer than ``w`` hashes
 one window. Null and empty texts have an empty fingerprint.
 """
 
@@ -17,10 +18,11 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarnlake.llm.numbering import bucket_of, range_bounds
+
 SPACES = " \t\n\x0b\x0c\r"
 #: An entry is hash * 2^31 + (LAST - position): the smallest is the smallest hash, rightmost.
 LAST = 2147483647
-MAX_BUCKETS = 1 << 16
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -33,6 +35,11 @@ def words(text: Column) -> Column:
     return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, r"[\x20\x09-\x0D]+"))
 
 
+def characters(text: Column) -> Column:
+    whole = F.coalesce(text, F.lit(""))
+    return F.when(whole == "", F.array().cast("array<string>")).otherwise(F.split(whole, ""))
+
+
 def _entries(unit: Column, k: int) -> Column:
     """The rolling k-gram hashes with their positions."""
     count = F.when(F.size(unit) >= k, F.size(unit) - F.lit(k - 1)).otherwise(F.lit(1))
@@ -53,7 +60,11 @@ def _minima(entries: Column, w: int) -> Column:
 
 def fingerprint(text: Column, k: int = 5, w: int = 8) -> Column:
     """Chosen entries of a text in ascending position, packed as above."""
-    return let(words(text), lambda unit: let(_entries(unit, k), lambda entries: _minima(entries, w)))
+    def chosen(unit: Column) -> Column:
+        return let(_entries(unit, k), lambda entries: _minima(entries, w))
+
+    long = lambda found: F.when(F.size(found) >= w + k - 1, found).otherwise(characters(text))
+    return let(let(words(text), long), chosen)
 
 
 def hashes(chosen: Column) -> Column:
@@ -61,7 +72,7 @@ def hashes(chosen: Column) -> Column:
 
 
 def positions(chosen: Column) -> Column:
-    """Word positions of the chosen hashes, from 0."""
+    """Unit positions of the chosen hashes, from 0."""
     return F.transform(chosen, lambda x: F.lit(LAST) - x.bitwiseAND(F.lit(LAST)))
 
 
@@ -87,21 +98,6 @@ def with_fingerprint(docs: DataFrame, k: int = 5, w: int = 8) -> DataFrame:
     )
 
 
-def bucket_of(key: str, bounds: list[int]) -> Column:
-    """Number of bounds that are at most ``key``, by binary search; null counts as the last."""
-    if not bounds:
-        return F.lit(0)
-    table = F.split(F.lit(",".join(map(str, bounds))), ",").cast("array<bigint>")
-    steps = [1 << i for i in reversed(range(len(bounds).bit_length()))]
-
-    def step(found: Column, size: Column) -> Column:
-        there = found + size
-        inside = (there <= len(bounds)) & F.coalesce(F.get(table, there - 1) <= F.col(key), F.lit(True))
-        return F.when(inside, there).otherwise(found)
-
-    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), step)
-
-
 def with_next(docs: DataFrame, then: Callable[[DataFrame], DataFrame], rows_per_bucket: int = 64) -> DataFrame:
     """Each text with the text that follows in ascending doc_id, after the last the first.
 
@@ -111,15 +107,8 @@ def with_next(docs: DataFrame, then: Callable[[DataFrame], DataFrame], rows_per_
     with ``fp``; the result has them with ``next_fp``. Null ids come last; rows with one id
     are ordered by text.
     """
-    total = docs.count()
-    buckets = max(1, min(MAX_BUCKETS, ceil(total / rows_per_bucket)))
-    shares = [i / buckets for i in range(1, buckets)]
-    row = docs.agg(
-        F.percentile_approx("doc_id", shares or [0.5], max(10_000, 10 * buckets)).alias("at"),
-        F.min("doc_id").alias("first"),
-    ).first()
-    first = row["first"]
-    bounds = sorted(x for x in {*(row["at"] or [])} if x > first) if shares and first is not None else []
+    bounds = range_bounds(docs, "doc_id", ceil(docs.count() / rows_per_bucket))
+    first = docs.agg(F.min("doc_id")).first()[0]
     bucket = bucket_of("doc_id", bounds)
     starts = F.col("doc_id").isin([first]) if first is not None else F.lit(True)
     before = F.when(starts, F.lit(len(bounds))).when(
