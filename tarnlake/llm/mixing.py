@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarnlake.llm.hashing import uniform_of
-from tarnlake.llm.staging import Stage
+from tarnlake.llm.staging import Stage, small_or_not
 from tarnlake.llm.words import WORD
 
 #: Documents of one source that meet in one task run of the first level, on average.
@@ -206,5 +206,6 @@ def mixed(docs: DataFrame, **how) -> DataFrame:
         .where(F.col("__copies") > 0)
         .withColumnRenamed("doc_id", "__doc")
     )
-    kept = docs.join(copies, docs["doc_id"].eqNullSafe(copies["__doc"])).drop("__doc")
+    copies = small_or_not(Stage(docs.sparkSession, "mixed").put(copies, "copies"))
+    kept = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("__doc"))).drop("__doc")
     return kept.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "__copies"))).select(*docs.columns)

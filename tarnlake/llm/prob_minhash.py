@@ -11,12 +11,12 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarnlake.llm.components import components
 from tarnlake.llm.hashing import salted, unit
-from tarnlake.llm.staging import Stage
+from tarnlake.llm.staging import Stage, small_or_not
 from tarnlake.llm.words import shingles, slices, word_hashes
 
 SHINGLE = 5
@@ -202,8 +202,8 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     banded = classes.select("doc_id", F.posexplode("bands").alias("band", "key"))
     shared = banded.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "key")
     members = stage.put(banded.join(shared, ["band", "key"], "left_semi"), "members")
-    candidates = members.select("doc_id").distinct()
-    texts = stage.put(plain.join(candidates, "doc_id", "left_semi"), "texts")
+    candidates = stage.put(members.select("doc_id").distinct(), "candidates")
+    texts = stage.put(plain.join(small_or_not(candidates), "doc_id", "left_semi"), "texts")
 
     compared = links = None
     for turn in range(STAR_ROUNDS + 1):
@@ -229,15 +229,7 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
 
 def without_near_duplicates(docs: DataFrame, **how) -> DataFrame:
     """One document of each class: the rows of ``docs`` that are kept, as they are."""
+    stage = Stage(docs.sparkSession, "kept")
     dropped = near_duplicates(docs, **how).where("not kept").select(F.col("doc_id").alias("__dropped")).distinct()
-    return docs.join(dropped, docs["doc_id"] == dropped["__dropped"], "left_anti")
-
-
-def similarity_of(one: Column, other: Column) -> Column:
-    """Probability Jaccard similarity of two text columns."""
-
-    @F.arrow_udf("double")
-    def similarity(a: pa.Array, b: pa.Array) -> pa.Array:
-        return pa.array(probability_jaccard(a, b))
-
-    return similarity(one, other)
+    dropped = small_or_not(stage.put(dropped, "dropped"))
+    return docs.join(dropped, F.col("doc_id") == F.col("__dropped"), "left_anti")

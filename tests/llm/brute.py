@@ -1,0 +1,83 @@
+"""Plain, slow versions of the operators, over Python rows."""
+
+from __future__ import annotations
+
+import re
+from collections import Counter, defaultdict
+
+
+def split_words(text: str | None) -> list[str]:
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def shingle_counts(text: str | None, k: int = 5) -> Counter:
+    words = split_words(text)
+    if not words:
+        return Counter()
+    return Counter(tuple(words[i : i + k]) for i in range(max(1, len(words) - k + 1)))
+
+
+def probability_jaccard(a: Counter, b: Counter) -> float:
+    union = set(a) | set(b)
+    return sum(1 / sum(max(a[x] / a[d], b[x] / b[d]) for x in union) for d in a.keys() & b.keys())
+
+
+class Classes:
+    def __init__(self, nodes):
+        self.parent = {n: n for n in nodes}
+
+    def find(self, n):
+        while self.parent[n] != n:
+            self.parent[n] = self.parent[self.parent[n]]
+            n = self.parent[n]
+        return n
+
+    def join(self, a, b):
+        a, b = self.find(a), self.find(b)
+        if a != b:
+            self.parent[max(a, b)] = min(a, b)
+
+
+def near_classes(rows, similar: float = 0.8) -> dict:
+    """doc_id to class for rows of (doc_id, text)."""
+    counts = {i: shingle_counts(t) for i, t in rows}
+    classes = Classes(counts)
+    ids = sorted(counts)
+    for n, a in enumerate(ids):
+        for b in ids[:n]:
+            if counts[a] and counts[b] and probability_jaccard(counts[a], counts[b]) >= similar:
+                classes.join(a, b)
+    return {i: classes.find(i) for i in ids}
+
+
+def template_drops(rows, min_docs=3, min_tokens=5, depth=3, similar=0.8) -> dict:
+    """doc_id to the set of line numbers that go, by the rules of the line templates."""
+    lines = []
+    for doc, text in rows:
+        if text is None:
+            continue
+        for number, line in enumerate(text.split("\n")):
+            masked = ["<*>" if re.search("[0-9]", w) else w for w in split_words(line)]
+            if len(masked) >= min_tokens:
+                lines.append((doc, number, tuple(masked)))
+    leaves = defaultdict(set)
+    for _, _, t in lines:
+        leaves[(len(t), t[:depth])].add(t)
+    template = {}
+    for found in leaves.values():
+        seen = Counter((p, w) for t in found for p, w in enumerate(t))
+        for t in found:
+            general = tuple(w if p < depth or seen[(p, w)] > 1 else None for p, w in enumerate(t))
+            constants = sum(w is not None for w in general)
+            fits = len(found) > 1 and len(t) > depth and similar * len(t) <= constants < len(t)
+            template[t] = general if fits else t
+    members = defaultdict(list)
+    for doc, number, t in lines:
+        members[(len(t), template[t])].append((doc, number))
+    drops = defaultdict(set)
+    for places in members.values():
+        if len({doc for doc, _ in places}) >= min_docs:
+            for doc, number in places:
+                if (doc, number) != min(places):
+                    drops[doc].add(number)
+    return drops

@@ -1,0 +1,90 @@
+"""The stages of the pipeline, each against a plain version over its own input."""
+
+import brute
+import corpus_pipeline
+import pytest
+from pyspark.sql import functions as F
+
+STAGES = dict(corpus_pipeline.STAGES)
+
+
+@pytest.fixture(scope="module")
+def outputs(spark, corpus, tmp_path_factory):
+    """Input and output of each stage."""
+    folder, docs, found = tmp_path_factory.mktemp("stages"), spark.read.parquet(f"{corpus}/documents.parquet"), {}
+    for name, function in corpus_pipeline.STAGES:
+        function(spark, docs, corpus).write.parquet(f"{folder}/{name}")
+        result = spark.read.parquet(f"{folder}/{name}")
+        found[name] = (docs, result)
+        docs = result
+    return found
+
+
+def pairs(df):
+    return [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]
+
+
+def test_columns_stay(outputs):
+    for name, (docs, result) in outputs.items():
+        if name != "packing":
+            assert result.columns == docs.columns
+
+
+def test_toxic_documents_go_and_clean_ones_stay(outputs):
+    import fixture_corpus
+
+    toxic = {r["doc_id"] for r in fixture_corpus.documents() if r["toxic"]}
+    docs, result = outputs["toxicity"]
+    gone = {d for d, _ in pairs(docs)} - {d for d, _ in pairs(result)}
+    assert len(gone & toxic) >= len(toxic) - 1
+    assert len(gone - toxic) <= 1
+
+
+def test_recurring_lines_go_but_copies_stay_whole(outputs):
+    docs, result = outputs["line_dedup"]
+    before, after = dict(pairs(docs)), dict(pairs(result))
+    drops = brute.template_drops(before.items())
+    assert set(before) == set(after)
+    for doc, text in before.items():
+        rest = "\n".join(x for i, x in enumerate((text or "").split("\n")) if i not in drops[doc])
+        whole = text is None or len(rest) < len(text) * (1 - corpus_pipeline.SPARE)
+        assert after[doc] == (text if whole else rest)
+    assert sum(before[d] != after[d] for d in before) >= 7
+    assert result.where(F.col("n_chars") != F.char_length(F.coalesce("text", F.lit("")))).count() == 0
+
+
+def test_one_of_each_class_stays(outputs):
+    docs, result = outputs["near_dedup"]
+    classes = brute.near_classes(pairs(docs))
+    assert sorted(d for d, _ in pairs(result)) == sorted(set(classes.values()))
+
+
+def test_mix_and_packing_hold_together(outputs):
+    docs, result = outputs["mixing"]
+    counts = {r["doc_id"]: r["count"] for r in result.groupBy("doc_id").count().collect()}
+    assert max(counts.values()) == 2
+    mixed, packed = outputs["packing"]
+    assert packed.where("start = 0").count() == mixed.count()
+    assert packed.where("octet_length(ids) <> 4 * length or crc32(ids) <> ids_crc32").count() == 0
+    assert packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 4096").count() == 0
+
+
+@pytest.mark.parametrize("name", STAGES)
+def test_empty_table(spark, corpus, name):
+    docs = spark.read.parquet(f"{corpus}/documents.parquet").limit(0)
+    assert STAGES[name](spark, docs, corpus).count() == 0
+
+
+@pytest.mark.parametrize("name", STAGES)
+def test_nulls_repeats_and_clashing_columns(spark, corpus, name):
+    """Columns that operators use inside, null ids and sources, and repeated rows."""
+    docs = (
+        spark.read.parquet(f"{corpus}/documents.parquet")
+        .limit(20)
+        .withColumns({c: F.lit(1) for c in ("score", "size", "line", "band", "copies", "node", "label")})
+    )
+    odd = docs.limit(3).withColumn("doc_id", F.lit(None).cast("long"))
+    result = STAGES[name](spark, docs.unionByName(docs.limit(4)).unionByName(odd), corpus)
+    assert result.count() > 0
+    if name in ("toxicity", "near_dedup", "mixing"):
+        assert result.columns == docs.columns
