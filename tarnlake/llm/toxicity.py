@@ -48,7 +48,10 @@ class Machine:
 
     def margins(self, doc: np.ndarray, slot: np.ndarray, n: int) -> np.ndarray:
         """Log odds of ``n`` texts whose distinct (text, slot) pairs are given."""
-        out = self.bias + np.bincount(doc, self.weight[slot], minlength=n)
+        out = np.full(n, self.bias)
+        if not len(slot):
+            return out
+        out += np.bincount(doc, self.weight[slot], minlength=n)
         for factor in self.factors.T:
             value = factor[slot]
             total = np.bincount(doc, value, minlength=n)
@@ -140,7 +143,7 @@ def train(
                 value = machine.factors[:, f]
                 total = np.bincount(doc, value[slot], minlength=len(chosen))
                 gradient = np.bincount(where, error[doc] * (total[doc] - value[slot]), minlength=len(touched))
-                gradient += l2 * value[touched]
+                gradient = gradient + l2 * value[touched]
                 g_factor[touched, f] += gradient**2
                 machine.factors[touched, f] -= 0.25 * rate * gradient / np.sqrt(g_factor[touched, f])
     return machine

@@ -105,7 +105,7 @@ def with_next(docs: DataFrame, then: Callable[[DataFrame], DataFrame], rows_per_
     a range also goes to the range before it, as its last, so no range waits for another and
     the texts are shuffled once. ``then`` maps rows with ``text`` and ``next_text`` to rows
     with ``fp``; the result has them with ``next_fp``. Null ids come last; rows with one id
-    are ordered by text.
+    are ordered by text. Columns ``next_text`` and ``next_fp`` are replaced.
     """
     bounds = range_bounds(docs, "doc_id", ceil(docs.count() / rows_per_bucket))
     first = docs.agg(F.min("doc_id")).first()[0]
@@ -114,15 +114,13 @@ def with_next(docs: DataFrame, then: Callable[[DataFrame], DataFrame], rows_per_
     before = F.when(starts, F.lit(len(bounds))).when(
         bucket_of("doc_id", bounds) != bucket_of("__less", bounds), bucket - 1
     )
-    homes = F.array_compact(F.array(F.struct(bucket.alias("bucket"), F.lit(0).alias("guest")), F.when(
-        before.isNotNull(), F.struct(before.alias("bucket"), F.lit(1).alias("guest")))))
-    dealt = (
-        docs.withColumn("__less", F.try_subtract(F.col("doc_id"), F.lit(1)))
-        .withColumn("__home", F.explode(homes))
-        .select("*", "__home.bucket", "__home.guest")
-        .drop("__home", "__less")
+    home = F.struct(bucket.alias("bucket"), F.lit(0).alias("guest"))
+    visit = F.when(before.isNotNull(), F.struct(before.alias("bucket"), F.lit(1).alias("guest")))
+    dealt = docs.withColumn("__less", F.try_subtract(F.col("doc_id"), F.lit(1))).withColumn(
+        "__home", F.explode(F.array_compact(F.array(home, visit)))
     )
-    order = Window.partitionBy("bucket").orderBy(F.col("guest"), F.col("doc_id").asc_nulls_last(), "text")
-    paired = dealt.withColumn("next_text", F.lead("text").over(order))
+    dealt = dealt.withColumns({"__bucket": F.col("__home.bucket"), "__guest": F.col("__home.guest")})
+    order = Window.partitionBy("__bucket").orderBy("__guest", F.col("doc_id").asc_nulls_last(), "text")
+    paired = dealt.drop("__home", "__less").withColumn("next_text", F.lead("text").over(order))
     result = then(paired).withColumn("next_fp", F.lead("fp").over(order))
-    return result.where(F.col("guest") == 0).drop("bucket", "guest")
+    return result.where(F.col("__guest") == 0).drop("__bucket", "__guest")

@@ -1,0 +1,225 @@
+"""Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from tarnlake.llm.compact_windows import compact_windows, repeated_passages
+from tarnlake.llm.cutting_stock import best_pattern, cut
+from tarnlake.llm.jump_sharding import jump_hash, with_shards, write_shards
+from tarnlake.llm.line_templates import drop_recurring_lines
+from tarnlake.llm.mixing import mix_sources, mixed
+from tarnlake.llm.packing import pack_documents
+from tarnlake.llm.prob_minhash import counted, near_duplicates, probability_jaccard, signatures
+from tarnlake.llm.subspace_join import near_vectors
+from tarnlake.llm.token_store import locate, read_all, read_ids, write_tokens
+from tarnlake.llm.tokens import public_tokenizer
+from tarnlake.llm.toxicity import fit, probability, train, with_toxicity
+from tarnlake.llm.winnowing import likeness, with_fingerprint, with_next
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+LONG = " ".join(f"w{i % 977}" for i in range(30_000))
+ODD = [
+    (1, "a b c d e f", "en", "s", 11),
+    (1, "a b c d e f", "en", "s", 11),
+    (2, None, None, None, None),
+    (3, "", "en", "s", 0),
+    (4, " \n\t", "en", "", 3),
+    (5, LONG, "en", "t", len(LONG)),
+    (6, LONG, "en", None, len(LONG)),
+    (None, "no id at all in this row", "en", "s", 24),
+    (None, None, None, None, None),
+]
+CLASHES = ("score", "predicted", "shard", "slot", "copies", "size", "fingerprint", "component", "class_id", "kept",
+           "sequence_id", "offset", "line", "template", "node", "band", "key", "dropped_lines", "tie", "p", "bucket")
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return spark.createDataFrame(ODD, SCHEMA).withColumns({name: F.lit("x") for name in CLASHES})
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    return spark.createDataFrame([(1, 1, 0), (2, None, 1), (None, 1, 1)], "doc_id long, quality int, toxic int")
+
+
+def pack(docs):
+    return pack_documents(docs, public_tokenizer(), 2)
+
+
+def store(docs):
+    return read_all(write_tokens(docs, public_tokenizer(), 1, 49_408))
+
+
+def next_pairs(docs):
+    return with_next(docs, lambda rows: rows.withColumn("fp", F.array(F.lit(1))))
+
+
+PER_ROW = {
+    "mixing": mix_sources, "lines": drop_recurring_lines, "near": near_duplicates, "shards": lambda d: with_shards(d, 8),
+    "store": store, "prints": with_fingerprint, "next": next_pairs,
+}
+
+
+@pytest.mark.parametrize("name", PER_ROW)
+def test_a_row_for_each_odd_row(odd, name):
+    assert PER_ROW[name](odd).count() == len(ODD)
+
+
+@pytest.mark.parametrize("name", [*PER_ROW, "passages", "pack", "mixed"])
+def test_empty_tables(empty, name):
+    others = {"passages": repeated_passages, "pack": pack, "mixed": mixed}
+    assert (PER_ROW | others)[name](empty).count() == 0
+
+
+def test_near_duplicates_of_odd_rows(odd):
+    found = near_duplicates(odd).collect()
+    assert sorted((r.doc_id or 0, r.class_id or 0, r.kept) for r in found) == [
+        (0, 0, True), (0, 0, True), (1, 1, True), (1, 1, True), (2, 2, True), (3, 3, True), (4, 4, True),
+        (5, 5, True), (6, 5, False),
+    ]
+
+
+def test_passages_of_odd_rows(odd):
+    (row,) = repeated_passages(odd).collect()
+    assert (row.doc_id, row.start, row.end, row.match_id, row.similarity) == (6, 0, 30_000, 5, 1.0)
+
+
+def test_toxicity_of_odd_rows(odd, labels, empty):
+    for known in (labels, labels.limit(0)):
+        machine = fit(odd, known)
+        rows = with_toxicity(odd, machine).collect()
+        assert len(rows) == len(ODD) and all(0 <= r.score <= 1 for r in rows)
+        assert with_toxicity(empty, machine).count() == 0
+
+
+def test_packing_of_odd_rows(odd):
+    rows = pack(odd).collect()
+    assert sum(r.start == 0 for r in rows) == len(ODD)
+    assert {r.doc_tokens for r in rows if r.doc_id in (2, 3, 4)} == {1}
+
+
+def test_lines_of_odd_rows_and_hot_lines(spark):
+    common = "the very same line of text here"
+    rows = [(i, f"own words {i} and nothing else to see\n{common}\nshort one", "en", "s", 0) for i in range(50)]
+    found = drop_recurring_lines(spark.createDataFrame([*rows, *ODD[2:4]], SCHEMA)).collect()
+    kept = {r.doc_id: r.text for r in found if r.doc_id not in (2, 3) or "own" in (r.text or "")}
+    assert common in kept[0] and all(common not in kept[i] for i in range(4, 50))
+    assert all("short one" in text for text in kept.values())
+
+
+def test_vectors_of_other_lengths_and_empty_tables(spark):
+    schema = "vec_id long, embedding array<float>, label int, links string"
+    rows = [(1, [1.0, 0.0], 1, ""), (2, [1.0, 0.0, 0.0], 1, ""), (3, [1.0, 0.0], 1, ""), (4, [1.0, 0.0], 2, ""),
+            (None, [1.0, 0.0], 1, ""), (5, None, 1, ""), (6, [0.99, 0.05], 1, "")]
+    found = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in near_vectors(spark.createDataFrame(rows, schema)).collect()}
+    assert found == {1: (2, 1, True), 2: (0, 2, True), 3: (2, 1, False), 4: (0, 4, True), None: (0, None, True),
+                     5: (0, 5, True), 6: (2, 1, False)}
+    assert near_vectors(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_a_dense_cluster_is_linked_across_tiles(spark, monkeypatch):
+    monkeypatch.setattr("tarnlake.llm.subspace_join.TILE", 40)
+    rng = np.random.default_rng(1)
+    base = rng.normal(size=16)
+    rows = [(i, (base + rng.normal(scale=0.05, size=16)).tolist(), 1) for i in range(300)]
+    found = near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert {(r.n_links, r.component_id) for r in found} == {(299, 0)}
+
+
+def test_keys_are_found_in_the_token_store_and_others_are_not(spark, corpus):
+    docs = spark.read.parquet(f"{corpus}/documents.parquet")
+    written = write_tokens(docs, public_tokenizer(), 1, 49_408)
+    asked = docs.where("doc_id % 4 = 0").select("doc_id")
+    strangers = asked.select((F.col("doc_id") + 1_000_003).alias("doc_id"))
+    found = locate(written, asked.unionByName(strangers))
+    assert found.count() == asked.count()
+    ids = {r.doc_id: r.ids for r in read_ids(written, found).collect()}
+    assert all(ids[d][-1] == 1 for d in ids)
+
+
+def test_jump_hash_moves_only_to_the_new_shard():
+    keys = np.arange(20_000, dtype=np.uint64)
+    for n in (1, 2, 7, 8, 100):
+        before, after = jump_hash(keys, n), jump_hash(keys, n + 1)
+        moved = before != after
+        assert (after[moved] == n).all() and abs(moved.mean() - 1 / (n + 1)) < 0.02
+        assert np.bincount(before, minlength=n).min() > 0.7 * len(keys) / n
+
+
+def test_shards_are_written_as_folders(spark, corpus, tmp_path):
+    docs = spark.read.parquet(f"{corpus}/documents.parquet")
+    write_shards(with_shards(docs, 4), str(tmp_path / "out"), cells=2)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert back.count() == docs.count()
+    assert len(list((tmp_path / "out").glob("shard=*"))) == 4
+
+
+def test_signatures_estimate_probability_jaccard():
+    one = " ".join(f"a{i}" for i in range(300))
+    other = " ".join(f"a{i}" if i % 40 else "z" for i in range(300))
+    twice = one + " " + one
+    texts = pa.array([one, other, twice, one])
+    exact = probability_jaccard(pa.array([one, one, one]), pa.array([other, twice, one]))
+    assert exact[2] == 1.0
+    text, element, weight = counted(texts)
+    signed = signatures(text, element, weight, 4, registers=4096)
+    for j, i in enumerate((1, 2, 3)):
+        assert (signed[0] == signed[i]).mean() == pytest.approx(exact[j], abs=0.03)
+
+
+def test_compact_windows_hold_every_passage_once():
+    rng = np.random.default_rng(2)
+    bounds = np.asarray([0, 40, 43, 120])
+    values = rng.integers(0, 50, 120).astype(np.uint64) << np.uint64(40)
+    text, left, centre, right = compact_windows(values, bounds, 8)
+    for t, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
+        own = values[a:b]
+        for i in range(len(own)):
+            for j in range(i + 7, len(own)):
+                holds = (text == t) & (left <= i) & (i <= centre) & (centre <= j) & (j <= right)
+                assert holds.sum() == 1
+                assert centre[holds][0] == i + int(own[i : j + 1].argmin())
+
+
+def test_knapsack_and_plan():
+    sizes, value = np.asarray([3, 5, 7]), np.asarray([3.0, 5.5, 7.1])
+    counts, worth = best_pattern(sizes, value, 17)
+    assert counts @ sizes <= 17 and worth == pytest.approx(max(
+        3 * a + 5.5 * b + 7.1 * c for a in range(6) for b in range(4) for c in range(3) if 3 * a + 5 * b + 7 * c <= 17))
+    demand = np.asarray([100, 60, 31])
+    plan = cut(sizes, demand, 17)
+    made = sum(p.counts * p.times for p in plan)
+    assert (made >= demand).all() and all(p.counts @ sizes <= 17 for p in plan)
+    assert sum(p.times for p in plan) <= -(-int(sizes @ demand) // 17) + 3
+
+
+def test_pairs_are_learned_that_linear_weights_miss():
+    """An insult, or a group, alone is fine (slots 1, 2); both together are not."""
+    rng = np.random.default_rng(3)
+    rows, labels = [], []
+    for _ in range(4000):
+        insult, group = rng.random(2) < 0.5
+        noise = rng.choice(np.arange(10, 60), 5, replace=False)
+        rows.append(np.sort(np.r_[noise, [1] * int(insult), [2] * int(group)]).astype(np.int64))
+        labels.append(float(insult and group))
+    machine = train(rows, np.asarray(labels), bits=8)
+    score = lambda *slots: probability(machine.margins(np.zeros(len(slots), int), np.asarray(slots), 1))[0]
+    assert score(1, 2, 15) > 0.5 > max(score(1, 15), score(2, 15), score(15))
+    assert machine.factors[1] @ machine.factors[2] > 0.5
+
+
+def test_winnowing_guarantee(spark):
+    words = [f"w{i}" for i in range(400)]
+    shared = " ".join(words[100:112])  # w + k - 1 words
+    rows = [(1, " ".join(words[:200])), (2, f"other {shared} text that goes on with more of its own words")]
+    one, other = [r.fingerprint for r in with_fingerprint(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    pair = spark.createDataFrame([(one, other)], "a array<bigint>, b array<bigint>")
+    assert pair.select(likeness(F.col("a"), F.col("b"))).first()[0] > 0
