@@ -2,6 +2,7 @@ from tarnlake.functions.dates import (
     date_dimension,
     date_dimension_for,
     date_key,
+    day_bounds,
     key_to_date,
 )
 from tarnlake.functions.lineage import LINEAGE_COLUMNS, with_lineage
@@ -11,6 +12,7 @@ __all__ = [
     "date_dimension",
     "date_dimension_for",
     "date_key",
+    "day_bounds",
     "key_to_date",
     "with_lineage",
 ]

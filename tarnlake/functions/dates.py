@@ -8,11 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Four-digit years are all a yyyyMMdd key can hold. They also bound every calendar
-# built here: 3,652,059 days, whatever the size of the facts.
-FIRST_DAY = "0001-01-01"
-LAST_DAY = "9999-12-31"
-
 
 def date_key(day: Column | str) -> Column:
     """``yyyyMMdd`` as a long; null for a null day."""
@@ -39,35 +34,45 @@ def _attributes(days: DataFrame) -> DataFrame:
     )
 
 
-def date_dimension(spark: SparkSession, first: date, last: date) -> DataFrame:
-    """One row per day from ``first`` to ``last``, both included."""
-    days = spark.range((last - first).days + 1)
-    return _attributes(days.select(F.date_add(F.lit(first), F.col("id").cast("int")).alias("day")))
+def day_number(day: date | int) -> int:
+    """Days since 1970-01-01; a number, unlike a Python date, may lie beyond the year 9999."""
+    return day if isinstance(day, int) else (day - date(1970, 1, 1)).days
 
 
-def date_dimension_for(*sources: tuple[DataFrame, str]) -> DataFrame:
-    """A calendar spanning the smallest to the largest day of the given columns.
+def date_dimension(spark: SparkSession, first: date | int, last: date | int) -> DataFrame:
+    """One row per day from ``first`` to ``last``, both included; dates or day numbers.
+
+    Made in parallel from a range, whose length Spark knows: a calendar too long to be
+    broadcast is not.
+    """
+    start = day_number(first)
+    days = spark.range(max(0, day_number(last) - start + 1))
+    number = (F.col("id") + F.lit(start)).cast("int")
+    return _attributes(days.select(F.date_from_unix_date(number).alias("day")))
+
+
+def day_bounds(*sources: tuple[DataFrame, str]) -> tuple[int, int] | None:
+    """Smallest and largest day number of the given date or timestamp columns, if any.
 
-    Each source is a frame and the name of its date or timestamp column. The bounds
-    are aggregated inside the plan (map-side min and max of one column per source),
-    so nothing is collected and only that column is scanned.
+    Each source is scanned once, for that column alone; one row reaches the driver.
     """
     bounds = [
-        frame.agg(
-            F.min(column).cast("date").alias("first"), F.max(column).cast("date").alias("last")
-        )
+        frame.agg(F.min(column).cast("date").alias("first"), F.max(column).cast("date").alias("last"))
         for frame, column in sources
     ]
-    if len(bounds) > 1:
-        bounds = [
-            reduce(DataFrame.unionByName, bounds).agg(
-                F.min("first").alias("first"), F.max("last").alias("last")
-            )
-        ]
-    first = F.greatest("first", F.lit(FIRST_DAY).cast("date"))
-    last = F.least("last", F.lit(LAST_DAY).cast("date"))
-    return _attributes(
-        bounds[0]
-        .where(F.col("first").isNotNull())
-        .select(F.explode(F.sequence(first, last)).alias("day"))
+    row = (
+        reduce(DataFrame.unionByName, bounds)
+        .agg(F.unix_date(F.min("first")).alias("first"), F.unix_date(F.max("last")).alias("last"))
+        .first()
     )
+    return None if row is None or row["first"] is None else (row["first"], row["last"])
+
+
+def date_dimension_for(*sources: tuple[DataFrame, str]) -> DataFrame:
+    """A calendar from the smallest to the largest day of the given columns.
+
+    The bounds are read when this is called. Store the result where several plans use it.
+    """
+    spark = sources[0][0].sparkSession
+    first, last = day_bounds(*sources) or (0, -1)
+    return date_dimension(spark, first, last)

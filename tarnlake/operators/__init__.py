@@ -1,4 +1,4 @@
-from tarnlake.operators.audit import audit_database, audit_tables
+from tarnlake.operators.audit import audit_database, audit_lake, audit_tables
 from tarnlake.operators.collections import replace_collections
 from tarnlake.operators.gold import (
     customer_line_totals,
@@ -11,7 +11,7 @@ from tarnlake.operators.gold import (
     quarter_quantities_by_product_key,
 )
 from tarnlake.operators.preview import preview, top
-from tarnlake.operators.roles import Role, enrich
+from tarnlake.operators.roles import Role, enrich, require_unique
 from tarnlake.operators.skew import HotKeys, find_hot_keys, join_counted, salted_join
 from tarnlake.operators.tables import create_gold, write_dim
 
@@ -19,6 +19,7 @@ __all__ = [
     "HotKeys",
     "Role",
     "audit_database",
+    "audit_lake",
     "audit_tables",
     "create_gold",
     "customer_line_totals",
@@ -34,6 +35,7 @@ __all__ = [
     "quarter_quantities_by_product",
     "quarter_quantities_by_product_key",
     "replace_collections",
+    "require_unique",
     "salted_join",
     "top",
     "write_dim",

@@ -39,3 +39,12 @@ def audit_database(spark: SparkSession, database: str, keys: Mapping[str, str])
     return audit_tables(
         {name: (spark.table(f"{database}.{name}"), key) for name, key in keys.items() if name in present}
     )
+
+
+def audit_lake(spark: SparkSession, database: str, dims: Mapping[str, str], facts: Mapping[str, str]) -> DataFrame:
+    """``audit_database`` of dimensions and of bronze and silver tables together.
+
+    ``facts`` names the fact key of each table. A bad record has no key: it counts in
+    ``null_keys`` and, in bronze, in ``corrupt_rows``.
+    """
+    return audit_database(spark, database, {**dims, **facts})

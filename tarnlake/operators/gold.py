@@ -7,7 +7,7 @@ has no read order, so order the result where it is read (``preview.top``) or ask
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,12 +60,16 @@ def monthly_product_count_by_key(
     )
 
 
-def customer_line_totals(silver: DataFrame) -> DataFrame:
+Keep = Callable[[DataFrame], DataFrame]
+
+
+def customer_line_totals(silver: DataFrame, keep: Keep | None = None, share: float = 1e-5) -> DataFrame:
     """One row per order line, with the line count of its customer.
 
     The count is aggregated first (map-side, so a customer of any size is one small
     row per task) and joined back. A window over the customer would need no second
-    read, but it would sort all lines of one customer in one task.
+    read, but it would sort all lines of one customer in one task. ``keep`` and ``share``
+    are those of ``join_counted``.
     """
     totals = (
         silver.groupBy(F.col("customer_key").alias("CustomerID"))
@@ -76,12 +80,14 @@ def customer_line_totals(silver: DataFrame) -> DataFrame:
         F.col("customer_last_name").alias("CustomerName"),
         F.col("product_key").alias("ProductNumber"),
     )
-    return join_counted(lines, totals, "customer_key", "CustomerID", "lines").select(
+    return join_counted(lines, totals, "customer_key", "CustomerID", "lines", share, keep).select(
         "CustomerID", "CustomerName", "ProductNumber", "ProductCount"
     )
 
 
-def customer_line_totals_by_key(facts: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+def customer_line_totals_by_key(
+    facts: DataFrame, dims: Mapping[str, DataFrame], keep: Keep | None = None, share: float = 1e-5
+) -> DataFrame:
     """``customer_line_totals`` of facts not yet enriched.
 
     The name is put to the customer's count instead of to each line, so lines are joined
@@ -93,11 +99,16 @@ def customer_line_totals_by_key(facts: DataFrame, dims: Mapping[str, DataFrame])
     name = Role("dim_customer", "customer_key", "customer_key", {"last_name": "CustomerName"})
     named = enrich(totals, dims, [name]).withColumnRenamed("customer_key", "CustomerID")
     lines = facts.select("customer_key", F.col("product_key").alias("ProductNumber"))
-    return join_counted(lines, named, "customer_key", "CustomerID", "lines").select(
+    return join_counted(lines, named, "customer_key", "CustomerID", "lines", share, keep).select(
         "CustomerID", "CustomerName", "ProductNumber", "ProductCount"
     )
 
 
+def _money(price: str) -> Column:
+    # Sums of doubles depend on their order, and rounding then tips over; decimals do not.
+    return F.col(price).cast("decimal(18,4)")
+
+
 def purchase_value(silver: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     """Quantity times list price per supplier and product name, at the dimensions of now.
 
@@ -121,14 +132,14 @@ def purchase_value(silver: DataFrame, dims: Mapping[str, DataFrame]) -> DataFram
         ],
     )
     return named.groupBy("supplier_company", "product_name").agg(
-        F.sum(F.col("quantity") * F.col("list_price")).alias("total_list_price")
+        F.sum(F.col("quantity") * _money("list_price")).cast("double").alias("total_list_price")
     )
 
 
 def purchase_value_as_loaded(silver: DataFrame) -> DataFrame:
     """``purchase_value`` at the names and prices each silver row was loaded with."""
     return silver.groupBy("supplier_company", "product_name").agg(
-        F.sum(F.col("po_detail_quantity") * F.col("product_list_price")).alias("total_list_price")
+        F.sum(F.col("po_detail_quantity") * _money("product_list_price")).cast("double").alias("total_list_price")
     )
 
 
@@ -151,14 +162,17 @@ def quarter_quantities_by_product_key(
     )
 
 
-def quarter_quantities_by_product(keyed: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+def quarter_quantities_by_product(
+    keyed: DataFrame, dims: Mapping[str, DataFrame], how: str = "left"
+) -> DataFrame:
     """Product names put to the keyed sums, products of one name merged.
 
     ``keyed`` comes from ``quarter_quantities_by_product_key``: directly in batch, or as
-    the finishing step of a complete-mode stream. A product without a name stays, as null.
+    the finishing step of a complete-mode stream. A product without a name stays, as null,
+    unless ``how`` is ``inner``, which also leaves out sums of products that are not known.
     """
     by = [name for name in keyed.columns if name not in ("product_key", "quantity")]
-    product = Role("dim_product", "product_key", "product_key", {"product_name": "product_name"}, "left")
+    product = Role("dim_product", "product_key", "product_key", {"product_name": "product_name"}, how)
     return (
         enrich(keyed, dims, [product])
         .groupBy(*by, "product_name")

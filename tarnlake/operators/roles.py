@@ -57,8 +57,7 @@ def enrich(
     """Join the roles to ``facts`` (batch or streaming) and select ``columns``.
 
     Left roles none of whose attributes are among ``columns`` are left out.
-    Dimension keys must be unique (``audit_tables`` counts duplicates), else facts
-    multiply. No join is forced: Spark broadcasts a dimension whose size is under
+    Dimension keys must be unique, else facts multiply: ``require_unique`` checks that. No join is forced: Spark broadcasts a dimension whose size is under
     ``spark.sql.autoBroadcastJoinThreshold`` and shuffles a larger one, where adaptive
     execution splits skewed keys. ``hot`` salts the roles of the given fact keys instead.
 
@@ -77,3 +76,12 @@ def enrich(
         else:
             df = df.join(dim, F.col(role.fact_key) == F.col(key), role.how).drop(key)
     return df if columns is None else df.select(*columns)
+
+
+def require_unique(dims: Mapping[str, DataFrame], keys: Mapping[str, str]) -> None:
+    """Raise if a dimension holds a key twice; one aggregate per dimension."""
+    for name, dim in dims.items():
+        key = keys[name]
+        repeated = dim.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").select(key).head(3)
+        if repeated:
+            raise ValueError(f"{name} holds {key} {', '.join(str(row[0]) for row in repeated)} more than once")

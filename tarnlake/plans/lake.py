@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from tarnlake.functions import with_lineage
 from tarnlake.operators.gold import (
@@ -15,7 +17,7 @@ from tarnlake.operators.gold import (
     quarter_quantities_by_product,
     quarter_quantities_by_product_key,
 )
-from tarnlake.operators.roles import enrich
+from tarnlake.operators.roles import enrich, require_unique
 from tarnlake.operators.skew import HotKeys
 from tarnlake.operators.tables import create_gold, quoted, write_dim
 from tarnlake.plans.star import (
@@ -29,6 +31,8 @@ from tarnlake.plans.star import (
     PURCHASE_ORDERS,
     Feed,
 )
+from tarnlake.plans.workspace import remove, stored
+from tarnlake.sources import infer_schema_once
 from tarnlake.streaming import append_stream, complete_stream, stream_json, stream_table
 from tarnlake.streaming.ingest import FILES_PER_BATCH
 
@@ -38,7 +42,9 @@ class Lake:
     """A database and the shared folder that holds its tables and checkpoints.
 
     Every method is one bounded, restartable step and returns the table it filled.
-    Names are always qualified, so the session's current database does not matter.
+    Names are always qualified, so the session's current database does not matter; temp
+    views carry the database in their name. ``gold_max_files`` bounds the micro-batches of
+    the streamed gold, each of which writes the whole result: by default a run is one.
     """
 
     spark: SparkSession
@@ -46,6 +52,7 @@ class Lake:
     root: str
     fmt: str = "parquet"
     max_files: int | None = FILES_PER_BATCH
+    gold_max_files: int | None = None
 
     def create(self, comment: str = "Lakehouse tables") -> Lake:
         self.spark.sql(
@@ -73,22 +80,38 @@ class Lake:
         base = f"{self.root}/{feed.name}/{layer}"
         return {"path": f"{base}/data", "checkpoint": f"{base}/checkpoint"}
 
-    def load_dims(self, dims: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-        """Replace the given dimension tables in full."""
-        return {
+    def view(self, name: str) -> str:
+        """Name of a temp view of this lake."""
+        return f"{self.database}_{name}"
+
+    def load_dims(self, dims: Mapping[str, DataFrame], unique: bool = True) -> dict[str, DataFrame]:
+        """Replace the given dimension tables in full; their keys must be unique, unless told not to check."""
+        loaded = {
             name: write_dim(
                 df, self.qualified(name), self.fmt, f"{self.root}/dimensions/{name}", f"Dimension {name}"
             )
             for name, df in dims.items()
         }
+        if unique:
+            require_unique(loaded, DIMENSION_KEYS)
+        return loaded
 
     def bronze(
-        self, feed: Feed, landing: str, multi_line: bool = True, **options: str
+        self,
+        feed: Feed,
+        landing: str,
+        multi_line: bool = True,
+        schema: str | StructType | None = None,
+        **options: str,
     ) -> DataFrame:
-        """Append newly landed records, unfiltered, with their lineage."""
+        """Append newly landed records, unfiltered, with their lineage.
+
+        Fields that the schema lacks and values that do not fit it are kept in
+        ``_rescued``. ``schema`` is the feed's own unless given; ``inferred`` gives one.
+        """
         raw = stream_json(
-            self.spark, landing, feed.schema, multi_line, self.max_files,
-            view=f"{feed.name}_raw", **options,
+            self.spark, landing, schema or feed.schema, multi_line, self.max_files,
+            view=self.view(f"{feed.name}_raw"), rescue=True, **options,
         )
         return append_stream(
             with_lineage(raw),
@@ -97,6 +120,11 @@ class Lake:
             **self._stream_folders(feed, "bronze"),
         )
 
+    def inferred(self, feed: Feed, landing: str, multi_line: bool = True, **options: str) -> StructType:
+        """The schema of what first landed, with the feed's own types where it names a field."""
+        store = f"{self.root}/{feed.name}/schema"
+        return infer_schema_once(self.spark, landing, store, feed.schema, multi_line, **options)
+
     def enriched(
         self,
         feed: Feed,
@@ -106,7 +134,7 @@ class Lake:
         """The silver rows (or some columns of them) of new bronze rows, as a stream."""
         bronze = stream_table(self.spark, self.qualified(feed.bronze_table), self.max_files)
         silver = enrich(bronze, self.dims(), feed.roles, columns or feed.silver_columns, hot)
-        silver.createOrReplaceTempView(f"{feed.silver_table}_stream")
+        silver.createOrReplaceTempView(self.view(f"{feed.silver_table}_stream"))
         return silver
 
     def silver(
@@ -124,37 +152,52 @@ class Lake:
             **self._stream_folders(feed, "silver"),
         )
 
-    def gold_monthly_orders(self) -> DataFrame:
+    def gold_monthly_orders(self, by_year: bool = False, **layout: Sequence[str]) -> DataFrame:
         """Order lines counted per customer and month name."""
-        return self._gold(monthly_product_count(self.table(ORDERS.silver_table)), GOLD_MONTHLY_ORDERS)
+        silver = self.table(ORDERS.silver_table)
+        return self._gold(monthly_product_count(silver, by_year), GOLD_MONTHLY_ORDERS, **layout)
 
-    def gold_product_orders(self) -> DataFrame:
+    def gold_product_orders(self, share: float = 1e-5, **layout: Sequence[str]) -> DataFrame:
         """Order lines, each with the line count of its customer."""
-        return self._gold(customer_line_totals(self.table(ORDERS.silver_table)), GOLD_PRODUCT_ORDERS)
+        counts = f"{self.root}/gold/{GOLD_PRODUCT_ORDERS}-counts-{uuid4().hex[:12]}"
+        totals = customer_line_totals(
+            self.table(ORDERS.silver_table), keep=lambda df: stored(df, counts), share=share
+        )
+        gold = self._gold(totals, GOLD_PRODUCT_ORDERS, **layout)
+        remove(self.spark, counts)
+        return gold
 
-    def gold_purchases(self) -> DataFrame:
+    def gold_purchases(self, **layout: Sequence[str]) -> DataFrame:
         """Purchase value per supplier and product at current names and prices."""
         silver = self.table(PURCHASE_ORDERS.silver_table)
-        return self._gold(purchase_value(silver, self.dims()), GOLD_PURCHASE_VALUE)
+        return self._gold(purchase_value(silver, self.dims()), GOLD_PURCHASE_VALUE, **layout)
+
+    def quantities_by_key(self) -> DataFrame:
+        """Quantity by created quarter, type and product key, as a stream of bronze keys.
+
+        Only the calendar is joined below the aggregate. Products are met by its groups, so
+        one with any share of the lines is a partial sum per task.
+        """
+        bronze = stream_table(
+            self.spark, self.qualified(INVENTORY_TRANSACTIONS.bronze_table), self.gold_max_files
+        )
+        return quarter_quantities_by_product_key(bronze, self.dims())
 
     def gold_inventory(self) -> DataFrame:
-        """Quantity per quarter, type and product, kept up by a complete-mode stream."""
+        """Quantity per quarter, type and product, kept up by a complete-mode stream.
+
+        Lines of unknown products, which silver has not, are left out with their groups.
+        """
         dims = self.dims()
         base = f"{self.root}/{INVENTORY_TRANSACTIONS.name}/gold"
-        transactions = self.enriched(
-            INVENTORY_TRANSACTIONS,
-            columns=(
-                "transaction_created_date_key", "inventory_transaction_type", "product_key", "quantity",
-            ),
-        )
         return complete_stream(
-            quarter_quantities_by_product_key(transactions, dims),
+            self.quantities_by_key(),
             self.qualified(GOLD_QUARTER_QUANTITIES),
             checkpoint=f"{base}/checkpoint",
             path=f"{base}/data",
-            finish=lambda keyed: quarter_quantities_by_product(keyed, dims),
+            finish=lambda keyed: quarter_quantities_by_product(keyed, dims, "inner"),
             fmt=self.fmt,
         )
 
-    def _gold(self, df: DataFrame, table: str) -> DataFrame:
-        return create_gold(df, self.qualified(table), self.fmt, f"{self.root}/gold/{table}")
+    def _gold(self, df: DataFrame, table: str, **layout: Sequence[str]) -> DataFrame:
+        return create_gold(df, self.qualified(table), self.fmt, f"{self.root}/gold/{table}", **layout)

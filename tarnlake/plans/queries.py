@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import suppress
+from uuid import uuid4
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnlake.functions import LINEAGE_COLUMNS, with_lineage
 from tarnlake.operators import (
-    Role,
     audit_database,
+    audit_lake,
     create_gold,
     customer_line_totals,
     customer_line_totals_by_key,
@@ -32,12 +36,10 @@ from tarnlake.plans.sample_star import SampleStar
 from tarnlake.plans.star import DIMENSION_KEYS, INVENTORY_TRANSACTIONS, ORDERS, PURCHASE_ORDERS, Feed
 from tarnlake.plans.workspace import run_folder, stored
 from tarnlake.sources import infer_schema_once, read_csv_dim, read_documents, scan_documents
-from tarnlake.streaming import append_stream, stream_json
+from tarnlake.streaming import append_stream, complete_stream, stream_json
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-CUSTOMER_ROLE = Role("dim_customer", "customer_key", "customer_key", {"last_name": "customer_last_name"})
-
 
 def _lake(spark: SparkSession, purpose: str) -> Lake:
     root = run_folder(spark, purpose)
@@ -45,47 +47,65 @@ def _lake(spark: SparkSession, purpose: str) -> Lake:
 
 
 def _without_lineage(df: DataFrame) -> DataFrame:
-    return df.drop(*LINEAGE_COLUMNS, "_corrupt_record")
+    return df.drop(*LINEAGE_COLUMNS, "_corrupt_record", "_rescued")
 
 
 # Gold in batch
 
 
+def _orders_silver_of(star: SampleStar, columns: tuple[str, ...]) -> DataFrame:
+    """Silver order lines: all inner roles, and the left ones that ``columns`` need."""
+    return enrich(star.order_facts(), star.dims_for(ORDERS.roles), ORDERS.roles, columns)
+
+
 def monthly_orders_by_customer(spark: SparkSession, folder: str) -> DataFrame:
-    star = SampleStar(spark, folder)
-    dims = {"dim_customer": star.dim_customer, "dim_date": star.order_dates()}
-    return monthly_product_count_by_key(star.orders_counted(), dims, count=F.sum("lines"))
+    columns = (
+        "customer_key", "customer_last_name", "customer_first_name", "order_month_name", "product_key",
+    )
+    return monthly_product_count(_orders_silver_of(SampleStar(spark, folder), columns))
 
 
 def monthly_orders_by_customer_and_year(spark: SparkSession, folder: str) -> DataFrame:
-    star = SampleStar(spark, folder)
-    dims = {"dim_customer": star.dim_customer, "dim_date": star.order_dates()}
-    return monthly_product_count_by_key(
-        star.orders_counted(), dims, count=F.sum("lines"), by_year=True
+    columns = (
+        "customer_key", "customer_last_name", "customer_first_name", "order_month_name",
+        "order_year", "product_key",
     )
+    return monthly_product_count(_orders_silver_of(SampleStar(spark, folder), columns), by_year=True)
 
 
-def monthly_orders_from_silver(spark: SparkSession, folder: str) -> DataFrame:
+def monthly_orders_by_key(spark: SparkSession, folder: str, by_year: bool = False) -> DataFrame:
+    """Counted on keys before names are met; customer and date are the only roles."""
     star = SampleStar(spark, folder)
-    columns = (
-        "customer_key", "customer_last_name", "customer_first_name", "order_month_name", "product_key",
+    dims = {"dim_customer": star.dim_customer, "dim_date": star.dim_date}
+    return monthly_product_count_by_key(
+        star.orders_counted(), dims, count=F.sum("lines"), by_year=by_year
     )
-    dims = star.dims_for(ORDERS.roles)
-    return monthly_product_count(enrich(star.order_facts(), dims, ORDERS.roles, columns))
 
 
-def customer_totals(spark: SparkSession, folder: str) -> DataFrame:
-    star = SampleStar(spark, folder)
-    facts = star.order_facts().select("customer_key", "product_key")
-    return customer_line_totals_by_key(stored(facts, run_folder(spark, "facts")), star.dims_of("dim_customer"))
+def monthly_orders_by_key_and_year(spark: SparkSession, folder: str) -> DataFrame:
+    return monthly_orders_by_key(spark, folder, by_year=True)
+
+
+def _keep(spark: SparkSession) -> Callable[[DataFrame], DataFrame]:
+    return lambda df: stored(df, run_folder(spark, "counts"))
+
+
+def customer_totals(spark: SparkSession, folder: str, share: float = 1e-5) -> DataFrame:
+    columns = ("customer_key", "customer_last_name", "product_key")
+    silver = _orders_silver_of(SampleStar(spark, folder), columns)
+    return customer_line_totals(stored(silver, run_folder(spark, "silver")), _keep(spark), share)
+
+
+def customer_totals_split(spark: SparkSession, folder: str) -> DataFrame:
+    """A share near the mean of the sample: some customers are broadcast, others shuffled."""
+    return customer_totals(spark, folder, share=8e-4)
 
 
-def customer_totals_from_silver(spark: SparkSession, folder: str) -> DataFrame:
+def customer_totals_by_key(spark: SparkSession, folder: str) -> DataFrame:
+    """Of plain facts: the customer is the only role."""
     star = SampleStar(spark, folder)
-    silver = enrich(star.order_facts(), star.dims_of("dim_customer"), [CUSTOMER_ROLE]).select(
-        "customer_key", "customer_last_name", "product_key"
-    )
-    return customer_line_totals(stored(silver, run_folder(spark, "silver")))
+    facts = stored(star.order_facts().select("customer_key", "product_key"), run_folder(spark, "facts"))
+    return customer_line_totals_by_key(facts, star.dims_of("dim_customer"), _keep(spark))
 
 
 def value_by_supplier_product(spark: SparkSession, folder: str) -> DataFrame:
@@ -110,7 +130,7 @@ def top_purchase_values(spark: SparkSession, folder: str) -> DataFrame:
 
 def quantity_by_quarter_batch(spark: SparkSession, folder: str) -> DataFrame:
     star = SampleStar(spark, folder)
-    dims = {"dim_product": star.dim_product, "dim_date": star.ship_dates()}
+    dims = {"dim_product": star.dim_product, "dim_date": star.dim_date}
     keyed = quarter_quantities_by_product_key(star.inventory_transaction_facts(), dims)
     return quarter_quantities_by_product(keyed, dims)
 
@@ -134,11 +154,18 @@ def orders_silver(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def orders_silver_salted(spark: SparkSession, folder: str) -> DataFrame:
-    """Salted on the keys that hold most of the facts: few shippers, few employees."""
+    """The customer and product roles as shuffled joins, their largest keys split.
+
+    The sample's dimensions would be broadcast; as salted roles they are joined as ones
+    above the threshold are.
+    """
     star = SampleStar(spark, folder)
-    facts = stored(star.order_facts(), run_folder(spark, "facts"))
-    spread_by = ("fact_order_key", "product_key")
-    hot = {key: find_hot_keys(facts, key, spread_by) for key in ("shipper_key", "employee_key")}
+    facts = star.order_facts()
+    spread_by = ("fact_order_key",)
+    hot = {
+        key: find_hot_keys(facts, key, spread_by, share=1e-3, rows_per_salt=20)
+        for key in ("customer_key", "product_key")
+    }
     return enrich(facts, star.dims_for(ORDERS.roles), ORDERS.roles, ORDERS.silver_columns, hot)
 
 
@@ -201,7 +228,7 @@ def purchases_lake_value(spark: SparkSession, folder: str) -> DataFrame:
 def _inventory_lake(spark: SparkSession, folder: str, purpose: str) -> Lake:
     star = SampleStar(spark, folder)
     lake = _lake(spark, purpose)
-    lake.load_dims({"dim_product": star.dim_product, "dim_date": star.ship_dates()})
+    lake.load_dims({"dim_product": star.dim_product, "dim_date": star.dim_date})
     land_lines(star.inventory_transaction_facts(), f"{lake.root}/landing")
     lake.bronze(INVENTORY_TRANSACTIONS, f"{lake.root}/landing", multi_line=False)
     return lake
@@ -216,9 +243,80 @@ def quantity_by_quarter_type_product(spark: SparkSession, folder: str) -> DataFr
     return _inventory_lake(spark, folder, "inventory-gold").gold_inventory()
 
 
+def quantity_by_quarter_sorted(spark: SparkSession, folder: str) -> DataFrame:
+    """The streaming aggregate itself, sorted, as a complete-mode result."""
+    lake = _inventory_lake(spark, folder, "inventory-sorted")
+    keyed = lake.quantities_by_key().orderBy(F.desc("quantity"))
+    return complete_stream(
+        keyed, lake.qualified("quantities"), f"{lake.root}/sorted/checkpoint", f"{lake.root}/sorted/data"
+    )
+
+
 # Bronze
 
 
+def _checked_lineage(bronze: DataFrame) -> DataFrame:
+    """Bronze as it is, with what must hold of its lineage in place of values that vary."""
+    name = F.element_at(F.split("source_file", "/"), -1)
+    return bronze.drop("_corrupt_record", "_rescued").withColumns(
+        {
+            "receipt_time": F.col("receipt_time").isNotNull() & (F.col("receipt_time") <= F.current_timestamp()),
+            "source_file": name.rlike(r"^part-.*[.]json$"),
+        }
+    )
+
+
+def orders_bronze(spark: SparkSession, folder: str) -> DataFrame:
+    lake = _orders_lake(spark, folder, "orders-bronze")
+    return _checked_lineage(lake.table(ORDERS.bronze_table))
+
+
+def purchases_bronze(spark: SparkSession, folder: str) -> DataFrame:
+    lake = _purchases_lake(spark, folder, "purchases-bronze")
+    return _checked_lineage(lake.table(PURCHASE_ORDERS.bronze_table))
+
+
+def inventory_bronze(spark: SparkSession, folder: str) -> DataFrame:
+    lake = _inventory_lake(spark, folder, "inventory-bronze")
+    return _checked_lineage(lake.table(INVENTORY_TRANSACTIONS.bronze_table))
+
+
+def bronze_rescued(spark: SparkSession, folder: str) -> DataFrame:
+    """Records with a field that the feed does not have, and with a value of another type."""
+    star = SampleStar(spark, folder)
+    lake = _lake(spark, "rescued")
+    facts = star.inventory_transaction_facts()
+    odd = F.col("quantity") % 2 == 1
+    landed = facts.withColumn("coupon", F.when(odd, F.concat(F.lit("C"), "product_key"))).withColumn(
+        "purchase_order_key", F.when(F.col("quantity") == 4, F.lit("none yet"))
+    )
+    land_lines(landed, f"{lake.root}/landing")
+    bronze = lake.bronze(INVENTORY_TRANSACTIONS, f"{lake.root}/landing", multi_line=False)
+    return bronze.select("fact_inventory_transaction_key", "quantity", "purchase_order_key", "_rescued")
+
+
+def bronze_inferred_feed(spark: SparkSession, folder: str) -> DataFrame:
+    """A feed whose schema is taken from what landed, with the feed's types laid over it."""
+    lake = _lake(spark, "inferred-feed")
+    landing = f"{lake.root}/landing"
+    facts = SampleStar(spark, folder).inventory_transaction_facts()
+    land_lines(facts.withColumn("batch_no", F.col("quantity") % 3), landing)
+    schema = lake.inferred(INVENTORY_TRANSACTIONS, landing, multi_line=False)
+    bronze = lake.bronze(INVENTORY_TRANSACTIONS, landing, multi_line=False, schema=schema)
+    return bronze.select(*facts.columns, "batch_no")
+
+
+def view_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """SQL over a named view of a silver stream's static twin."""
+    star = SampleStar(spark, folder)
+    view = f"lines_{uuid4().hex[:12]}"
+    star.inventory_transaction_facts().createOrReplaceTempView(view)
+    return spark.sql(
+        f"SELECT inventory_transaction_type, count(*) AS line_count, sum(quantity) AS total_quantity "
+        f"FROM {view} GROUP BY inventory_transaction_type"
+    )
+
+
 def _events_bronze(
     events: DataFrame, root: str, landing: str, table: str, multi_line: bool
 ) -> DataFrame:
@@ -290,6 +388,18 @@ def audit_tables(spark: SparkSession, folder: str) -> DataFrame:
     return audit_database(spark, lake.database, DIMENSION_KEYS)
 
 
+def audit_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Dimensions, bronze and silver after a delivery with one record cut short."""
+    lake = _orders_lake(spark, folder, "audit-orders")
+    broken = spark.createDataFrame([('{"fact_order_key": 1, "order_key":',)], "value string")
+    broken.write.mode("append").text(f"{lake.root}/landing")
+    lake.bronze(ORDERS, f"{lake.root}/landing", multi_line=False)
+    lake.silver(ORDERS)
+    facts = {ORDERS.bronze_table: "fact_order_key", ORDERS.silver_table: "fact_order_key"}
+    dims = {"dim_customer": DIMENSION_KEYS["dim_customer"]}
+    return audit_lake(spark, lake.database, dims, facts).drop("column_types")
+
+
 def topk_preview(spark: SparkSession, folder: str) -> DataFrame:
     return preview(SampleStar(spark, folder).dim_customer, "customer_key")
 
@@ -305,10 +415,13 @@ def gold_table(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def csv_dim(spark: SparkSession, folder: str) -> DataFrame:
+    """Names get a quote, a comma and a line break on the way out."""
     customers = SampleStar(spark, folder).table("customer")
+    odd = F.concat(F.lit('a "q", b\n'), "c_name")
+    customers = customers.withColumn("c_name", F.when(F.col("c_custkey") % 7 == 0, odd).otherwise(F.col("c_name")))
     path = f"{run_folder(spark, 'csv')}/customer"
-    customers.write.option("header", True).csv(path)
-    return read_csv_dim(spark, path, customers.schema)
+    customers.write.options(header=True, quote='"', escape='"').csv(path)
+    return read_csv_dim(spark, path, customers.schema, multi_line=True)
 
 
 def document_scan(spark: SparkSession, folder: str) -> DataFrame:
@@ -343,17 +456,34 @@ def replace_collection(spark: SparkSession, folder: str) -> DataFrame:
     return replace_collections(spark, files, options=JSON_TIMESTAMPS, **load)
 
 
+def replaced_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """A collection replaced by a delivery, then by one that does not parse and so must not count."""
+    customers = SampleStar(spark, folder).table("customer")
+    root = run_folder(spark, "replaced")
+    customers.write.json(f"{root}/good")
+    broken = spark.createDataFrame([('{"c_custkey": 1}',), ('{"c_custkey": ',)], "value string")
+    broken.write.text(f"{root}/broken")
+    load = {"target": f"{root}/collections", "schemas": {"customer": customers.schema}, "multi_line": False}
+    replace_collections(spark, {"customer": f"{root}/good"}, **load)
+    with suppress(PySparkException, Py4JJavaError):
+        replace_collections(spark, {"customer": f"{root}/broken"}, **load)
+    return spark.read.schema(customers.schema).json(f"{root}/collections/customer")
+
+
 QUERIES: dict[str, Query] = {
     "monthly_orders_by_customer": monthly_orders_by_customer,
     "monthly_orders_by_customer_and_year": monthly_orders_by_customer_and_year,
-    "monthly_orders_from_silver": monthly_orders_from_silver,
+    "monthly_orders_by_key": monthly_orders_by_key,
+    "monthly_orders_by_key_and_year": monthly_orders_by_key_and_year,
     "customer_line_totals": customer_totals,
-    "customer_line_totals_from_silver": customer_totals_from_silver,
+    "customer_line_totals_split": customer_totals_split,
+    "customer_line_totals_by_key": customer_totals_by_key,
     "value_by_supplier_product": value_by_supplier_product,
     "value_by_supplier_product_as_loaded": value_by_supplier_product_as_loaded,
     "top_purchase_values": top_purchase_values,
     "quantity_by_quarter_batch": quantity_by_quarter_batch,
     "quantity_by_quarter_type_product": quantity_by_quarter_type_product,
+    "quantity_by_quarter_sorted": quantity_by_quarter_sorted,
     "orders_silver": orders_silver,
     "orders_silver_salted": orders_silver_salted,
     "purchase_silver": purchase_silver,
@@ -364,15 +494,23 @@ QUERIES: dict[str, Query] = {
     "purchases_lake_silver": purchases_lake_silver,
     "purchases_lake_value": purchases_lake_value,
     "inventory_lake_silver": inventory_lake_silver,
+    "orders_bronze": orders_bronze,
+    "purchases_bronze": purchases_bronze,
+    "inventory_bronze": inventory_bronze,
+    "bronze_rescued": bronze_rescued,
+    "bronze_inferred_feed": bronze_inferred_feed,
+    "view_scan": view_scan,
     "bronze_events": bronze_events,
     "bronze_event_arrays": bronze_event_arrays,
     "bronze_restart": bronze_restart,
     "bronze_inferred": bronze_inferred,
     "dim_date": dim_date,
     "audit_tables": audit_tables,
+    "audit_orders": audit_orders,
     "topk_preview": topk_preview,
     "gold_table": gold_table,
     "csv_dim": csv_dim,
     "document_scan": document_scan,
     "replace_collection": replace_collection,
+    "replaced_documents": replaced_documents,
 }

@@ -9,12 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from functools import cached_property
+from hashlib import sha256
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnlake.functions import date_dimension_for, date_key
 from tarnlake.operators.roles import Role
+from tarnlake.plans.workspace import run_folder, stored
 
 
 def _priority() -> Column:
@@ -97,9 +99,18 @@ class SampleStar:
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return date_dimension_for(
-            (self.table("orders"), "o_orderdate"), (self.table("lineitem"), "l_shipdate")
-        )
+        """The calendar of all days of these tables: made once a session, then a stored table.
+
+        Queries that join a date read it and not the facts' date columns once more, and
+        Spark knows its size.
+        """
+        view = f"tarnlake_calendar_{sha256(self.folder.encode()).hexdigest()[:16]}"
+        if not self.spark.catalog.tableExists(view):
+            days = date_dimension_for(
+                (self.table("orders"), "o_orderdate"), (self.table("lineitem"), "l_shipdate")
+            )
+            stored(days, run_folder(self.spark, "calendar")).createOrReplaceTempView(view)
+        return self.spark.table(view)
 
     @property
     def dims(self) -> dict[str, DataFrame]:
@@ -207,10 +218,3 @@ class SampleStar:
             date_key("o_orderdate").alias("order_date_key"),
             "lines",
         )
-
-    def order_dates(self) -> DataFrame:
-        """A calendar of the order days alone, where no other date is joined."""
-        return date_dimension_for((self.table("orders"), "o_orderdate"))
-
-    def ship_dates(self) -> DataFrame:
-        return date_dimension_for((self.table("lineitem"), "l_shipdate"))

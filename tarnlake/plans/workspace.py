@@ -2,24 +2,30 @@
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def run_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder name under the shared ``spark.checkpoint.dir`` of the session.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors see.
 
-    Executors and a restarted driver must all see it. Only a local-mode session without
-    that setting, as in tests, falls back to the machine's temporary folder.
+    That is ``spark.checkpoint.dir``, or the checkpoint folder set on the context. A session
+    without either has the warehouse, which tables need to be shared as well.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.gettempdir()
-    return f"{base.rstrip('/')}/tarnlake-{purpose}-{uuid4().hex[:12]}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (base or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+
+
+def run_folder(spark: SparkSession, purpose: str) -> str:
+    """A new folder name under the shared folder. Whoever asks for it owns what is put there."""
+    return f"{shared_folder(spark)}/tarnlake-{purpose}-{uuid4().hex[:12]}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it is, if it is there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def stored(df: DataFrame, folder: str) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType, VariantType
 
 CORRUPT_COLUMN = "_corrupt_record"
+RESCUED_COLUMN = "_rescued"
 
 # A backlog is worked off in micro-batches of this many files, each committed on its own.
 FILES_PER_BATCH = 1000
@@ -24,6 +26,7 @@ def stream_json(
     max_files: int | None = FILES_PER_BATCH,
     keep_corrupt: bool = True,
     view: str | None = None,
+    rescue: bool = False,
     **options: str,
 ) -> DataFrame:
     """Files of ``landing`` as they arrive, each read once.
@@ -36,18 +39,55 @@ def stream_json(
 
     ``max_files`` bounds a micro-batch; to bound it by size instead, pass None and
     ``maxBytesPerTrigger``.
+
+    Fields that the schema does not name are dropped, and a value that does not fit its
+    type makes a corrupt record, unless ``rescue`` is set: then both are kept as a JSON
+    object in ``_rescued``, null where there is nothing to keep.
     """
     if not isinstance(schema, StructType):
         schema = StructType.fromDDL(schema)
     if keep_corrupt and CORRUPT_COLUMN not in schema.names:
         schema = StructType([*schema.fields]).add(CORRUPT_COLUMN, StringType())
-    reader = _bounded(spark.readStream, max_files)
-    df = reader.schema(schema).options(multiLine=multi_line, **options).json(landing)
+    reader = _bounded(spark.readStream, max_files).options(multiLine=multi_line, **options)
+    if rescue:
+        df = _rescued(reader, landing, schema, keep_corrupt)
+    else:
+        df = reader.schema(schema).json(landing)
     if view:
         df.createOrReplaceTempView(view)
     return df
 
 
+def _rescued(
+    reader: DataStreamReader, landing: str, schema: StructType, keep_corrupt: bool
+) -> DataFrame:
+    """Whole records as variants, cut into the fields of the schema and what is left."""
+    fields = [field for field in schema if field.name != CORRUPT_COLUMN]
+    whole = StructType([StructField("__file", VariantType()), StructField(CORRUPT_COLUMN, StringType())])
+    read = reader.schema(whole).option("singleVariantColumn", "__file").json(landing)
+    array = F.try_variant_get("__file", "$", "array<variant>")
+    records = read.select(
+        F.explode_outer(F.coalesce(array, F.array("__file"))).alias("__record"), CORRUPT_COLUMN
+    ).where(F.col("__record").isNotNull() | F.col(CORRUPT_COLUMN).isNotNull())
+    values = {
+        field.name: F.try_variant_get("__record", f"$['{field.name}']", field.dataType.simpleString())
+        for field in fields
+    }
+    kept = records.select("__record", CORRUPT_COLUMN, *[value.alias(name) for name, value in values.items()])
+    fitting = F.array_compact(
+        F.array(*[F.when(F.col(name).isNotNull(), F.lit(name)) for name in values])
+    )
+    members = F.try_variant_get("__record", "$", "map<string,variant>")
+
+    def unknown(name: Column, value: Column) -> Column:
+        return ~F.array_contains(fitting, name) & ~F.is_variant_null(value)
+
+    rest = F.map_filter(members, unknown)
+    rescued = F.when(members.isNull(), F.to_json("__record")).when(F.size(rest) > 0, F.to_json(rest))
+    corrupt = [CORRUPT_COLUMN] if keep_corrupt or CORRUPT_COLUMN in schema.names else []
+    return kept.select(*values, *corrupt, rescued.alias(RESCUED_COLUMN))
+
+
 def stream_table(
     spark: SparkSession,
     table: str,

@@ -8,10 +8,13 @@ after a failure, or with nothing new, adds no row twice.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from uuid import uuid4
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from tarnlake.operators.tables import quoted
+from tarnlake.plans.workspace import remove
+
 
 def append_stream(
     df: DataFrame,
@@ -52,14 +55,22 @@ def complete_stream(
     """Keep ``table`` equal to the whole streaming aggregate ``df``; return the table.
 
     After each micro-batch the complete result, as a batch frame, passes through
-    ``finish`` (joins, a further aggregate) and replaces the table. ``df`` itself may end
-    in a sort, which streaming allows in this mode only. Replacing is idempotent, so a repeated micro-batch does no harm. The aggregate's groups are the
-    state; for many of them run with the RocksDB state store provider.
+    ``finish`` (joins, a further aggregate) and is written to a new folder under ``path``;
+    only then is the table pointed at it, and the folder before the last one deleted. So
+    readers see one whole result or the other, and each micro-batch costs one full write:
+    let ``df`` read its backlog in few of them. ``df`` itself may end in a sort, which
+    streaming allows in this mode only. The aggregate's groups are the state; for many of
+    them run with the RocksDB state store provider.
     """
+    spark = df.sparkSession
 
     def replace(batch: DataFrame, batch_id: int) -> None:
         result = batch if finish is None else finish(batch)
-        result.write.format(fmt).mode("overwrite").option("path", path).saveAsTable(table)
+        folder = f"{path}/version={batch_id + 1:012d}-{uuid4().hex[:8]}"
+        result.write.format(fmt).save(folder)
+        _point(batch.sparkSession, table, folder, fmt)
+        for old in _versions(batch.sparkSession, path)[:-2]:
+            remove(batch.sparkSession, old)
 
     query = (
         df.writeStream.outputMode("complete")
@@ -69,22 +80,34 @@ def complete_stream(
         .start()
     )
     query.awaitTermination()
-    spark = df.sparkSession
     if not spark.catalog.tableExists(table):
         # No micro-batch ran in this session: either an earlier session filled the
         # table and its catalog is gone, or nothing has arrived yet.
-        if not _register(spark, table, path, fmt):
+        versions = _versions(spark, path)
+        if versions:
+            _point(spark, table, versions[-1], fmt)
+        else:
             replace(spark.createDataFrame([], df.schema), -1)
     spark.catalog.refreshTable(table)
     return spark.table(table)
 
 
-def _register(spark: SparkSession, table: str, path: str, fmt: str) -> bool:
-    try:
-        spark.read.format(fmt).load(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    spark.catalog.createTable(table, path=path, source=fmt)
-    return True
+def _point(spark: SparkSession, table: str, folder: str, fmt: str) -> None:
+    """Let ``table`` read ``folder``."""
+    if spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION {quoted(folder)}")
+        spark.catalog.refreshTable(table)
+    else:
+        spark.catalog.createTable(table, path=folder, source=fmt)
+
+
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    """Folders of whole results under ``path``, oldest first; unfinished ones do not count."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    place = hadoop.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(place):
+        return []
+    folders = [status.getPath() for status in system.listStatus(place) if status.isDirectory()]
+    whole = [f for f in folders if system.exists(hadoop.Path(f, "_SUCCESS")) or system.exists(hadoop.Path(f, "_delta_log"))]
+    return sorted(f.toString() for f in whole)

@@ -19,7 +19,7 @@ INVOICES = [
 ]
 EMPLOYEES = """employee_key,company,last_name,first_name,email_address,job_title,business_phone,home_phone,\
 fax_number,address,city,state_province,zip_postal_code,country_region,web_page
-1,House,Dahl,Eva,e@house.example,"Vice President, Sales",1,2,3,"1 ""High"" St",Ulm,BW,00123,DE,#w#
+1,House,Dahl,Eva,e@house.example,"Keeper, Night Shift",1,2,3,"1 ""High"" St",Ulm,BW,00123,DE,#w#
 2,House,Falk,Gus,,,,,,,,,,,
 """
 
@@ -58,7 +58,7 @@ def test_dimensions_from_files(spark, tmp_path):
     assert (first.last_name, first.zip_postal_code, first.job_title) == ("Pérez", "01234", None)
     clerk = preview(tables["dim_employee"], "employee_key", 1).first()
     assert (clerk.job_title, clerk.address, clerk.zip_postal_code) == (
-        "Vice President, Sales", '1 "High" St', "00123",
+        "Keeper, Night Shift", '1 "High" St', "00123",
     )
     invoice = tables["dim_invoice"].first()
     assert (invoice.invoice_date, invoice.tax) == ("2024-01-15 00:00:00", 0.0)

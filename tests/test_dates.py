@@ -39,3 +39,20 @@ def test_no_days_no_calendar(spark):
     empty = spark.createDataFrame([(None,)], "d date")
     assert date_dimension_for((empty, "d")).count() == 0
     assert date_dimension_for((empty.where(F.lit(False)), "d"), (empty, "d")).count() == 0
+
+
+def test_days_around_the_year_10000_keep_their_attributes(spark):
+    days = spark.sql("SELECT explode(sequence(DATE'9999-12-30', DATE'9999-12-30' + INTERVAL 4 DAY)) AS d")
+    calendar = date_dimension_for((days, "d"))
+    joined = days.select(date_key("d").alias("k")).join(calendar, F.col("k") == F.col("date_key"), "left")
+    years = {r.k: r.calendar_year for r in joined.select("k", "calendar_year").collect()}
+    assert years == {99991230: 9999, 99991231: 9999, 100000101: 10000, 100000102: 10000, 100000103: 10000}
+
+
+def test_a_long_calendar_is_not_broadcast(spark, conf):
+    facts = spark.range(10).select((F.col("id") + 20240101).alias("k"))
+    for last, broadcast in ((date(2024, 12, 31), True), (date(9999, 12, 31), False)):
+        calendar = date_dimension(spark, date(2024, 1, 1), last)
+        conf(spark__sql__autoBroadcastJoinThreshold="1m")
+        plan = facts.join(calendar, F.col("k") == F.col("date_key"), "left")._jdf.queryExecution().sparkPlan().toString()
+        assert ("BroadcastHashJoin" in plan) == broadcast

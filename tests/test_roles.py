@@ -100,9 +100,9 @@ def test_salted_roles_give_the_same_rows(spark, star):
     rows = (ORDERS_CLEAN + ORDERS_ODD) * 3
     facts = frame(spark, rows, ORDERS.schema)
     hot = {
-        "shipper_key": HotKeys((1, 2), ("fact_order_key",), 4),
-        "paid_date_key": HotKeys((20240201,), ("fact_order_key",), 4),
-        "customer_key": HotKeys((), ("fact_order_key",), 4),
+        "shipper_key": HotKeys({1: 4, 2: 3}, ("fact_order_key",), 4),
+        "paid_date_key": HotKeys({20240201: 4}, ("fact_order_key",), 4),
+        "customer_key": HotKeys({}, ("fact_order_key",), 4),
     }
     plain = enrich(facts, star, ORDERS.roles, ORDERS.silver_columns)
     salted = enrich(facts, star, ORDERS.roles, ORDERS.silver_columns, hot)

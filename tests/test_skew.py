@@ -3,6 +3,8 @@ from collections import Counter
 from fixtures import bag
 from pyspark.sql import functions as F
 
+import pytest
+
 from tarnlake.operators import HotKeys, find_hot_keys, join_counted, salted_join
 
 
@@ -31,7 +33,7 @@ def test_salted_join_is_the_plain_join(spark):
     dim = spark.range(300).selectExpr("id AS dk", "id * 10 AS v")
     for how in ("inner", "left"):
         plain = facts.join(dim, facts.k == dim.dk, how).select("id", "k", "v")
-        for hot in (HotKeys((7,), ("id",), 8), HotKeys((), ("id",), 8), HotKeys((7, 399, 5), ("id",), 3)):
+        for hot in (HotKeys({7: 8}, ("id",), 8), HotKeys({}, ("id",), 8), HotKeys({7: 3, 399: 2, 5: 1}, ("id",), 3)):
             salted = salted_join(facts, dim, "k", "dk", how, hot)
             assert salted.columns == ["id", "k", "v"]
             assert bag(salted.collect()) == bag(plain.collect())
@@ -47,7 +49,7 @@ def test_salting_spreads_the_hot_key_and_the_nulls(spark, conf):
         return max(Counter(r.place for r in places if r.k == key).values())
 
     plain = facts.join(dim, facts.k == dim.dk, "left")
-    salted = salted_join(facts, dim, "k", "dk", "left", HotKeys((7,), ("id",), 64))
+    salted = salted_join(facts, dim, "k", "dk", "left", HotKeys({7: 64}, ("id",), 64))
     for key in (7, None):
         assert most(salted, key) < most(plain, key) / 2
 
@@ -77,3 +79,36 @@ def test_nothing_to_join(spark):
     empty = spark.createDataFrame([], "id bigint, k bigint")
     counted = empty.groupBy(F.col("k").alias("ck")).agg(F.count(F.lit(1)).alias("n"))
     assert join_counted(empty, counted, "k", "ck", "n").count() == 0
+
+
+def test_salts_follow_the_rows_of_a_key(spark):
+    rows, facts = skewed(spark)
+    counts = Counter(k for _, k in rows)
+    hot = find_hot_keys(facts, "k", ["id"], 0.2, rows_per_salt=100)
+    assert hot.salts == {7: -(-counts[7] // 100)}
+    assert hot.null_salts == -(-counts[None] // 100)
+
+
+def test_shares_that_bound_nothing_are_refused(spark):
+    _, facts = skewed(spark)
+    counted = facts.groupBy(F.col("k").alias("ck")).agg(F.count(F.lit(1)).alias("n"))
+    for share in (0, 1e-9, -1, 2):
+        with pytest.raises(ValueError, match="share"):
+            find_hot_keys(facts, "k", ["id"], share)
+        with pytest.raises(ValueError, match="share"):
+            join_counted(facts, counted, "k", "ck", "n", share)
+
+
+def test_join_counted_counts_once(spark, tmp_path):
+    _, facts = skewed(spark)
+    facts.write.parquet(str(tmp_path / "facts"))
+    facts = spark.read.parquet(str(tmp_path / "facts"))
+    counted = facts.groupBy(F.col("k").alias("ck")).agg(F.count(F.lit(1)).alias("n"))
+
+    def keep(df):
+        df.write.parquet(str(tmp_path / "counts"))
+        return spark.read.parquet(str(tmp_path / "counts"))
+
+    joined = join_counted(facts, counted, "k", "ck", "n", 0.2, keep)
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [id") + plan.count("Relation [k") <= 2

@@ -30,7 +30,7 @@ from tarnlake.plans.star import (
     PURCHASE_ORDERS,
 )
 from tarnlake.sources import read_csv_dim
-from tarnlake.streaming import complete_stream, stream_json, stream_table
+from tarnlake.streaming import append_stream, complete_stream, stream_json, stream_table
 
 
 @pytest.fixture(scope="module")
@@ -53,8 +53,8 @@ def test_bronze_adds_lineage_and_drops_nothing(spark, tmp_path):
     land_array(landing, "a.json", rows)
     land_array(landing, "b.json", rows[:3])
     bronze = lk.bronze(ORDERS, str(landing))
-    assert bronze.columns[-3:] == ["_corrupt_record", "receipt_time", "source_file"]
-    assert bag(bronze.drop("_corrupt_record", "receipt_time", "source_file").collect()) == bag(
+    assert bronze.columns[-4:] == ["_corrupt_record", "_rescued", "receipt_time", "source_file"]
+    assert bag(bronze.drop("_corrupt_record", "_rescued", "receipt_time", "source_file").collect()) == bag(
         tuple(r.values()) for r in rows + rows[:3]
     )
     files = {Path(r.source_file).name: r["count"] for r in bronze.groupBy("source_file").count().collect()}
@@ -273,9 +273,9 @@ def test_sql_over_streaming_views(spark, tmp_path, star):
     lk.load_dims(star)
     land_array(landing, "1.json", ORDERS_CLEAN)
     lk.bronze(ORDERS, str(landing))
-    assert spark.table("fact_orders_raw").isStreaming
+    assert spark.table(lk.view("fact_orders_raw")).isStreaming
     lk.enriched(ORDERS)
-    view = spark.sql("SELECT *, quantity * unit_price AS value FROM fact_orders_silver_stream")
+    view = spark.sql(f"SELECT *, quantity * unit_price AS value FROM {lk.view('fact_orders_silver_stream')}")
     assert view.isStreaming and view.columns[-1] == "value"
     stream_table(spark, lk.qualified(ORDERS.bronze_table), view="bronze_again")
     assert spark.sql("SELECT receipt_time FROM bronze_again").isStreaming
@@ -286,3 +286,57 @@ def test_calendar_may_be_shorter_than_the_facts(spark, tmp_path, star):
     facts = frame(spark, ORDERS_CLEAN, ORDERS_SCHEMA)
     rows = enrich(facts, short, ORDERS.roles).collect()
     assert len(rows) == 7 and sum(r.order_year is None for r in rows) == 4
+
+
+def test_unknown_fields_and_misfits_are_rescued(spark, tmp_path):
+    landing = tmp_path / "in"
+    landing.mkdir()
+    (landing / "a.json").write_text(
+        '{"k": 1, "v": "x"}\n{"k": 2, "coupon": "C9", "n": null}\n{"k": "two", "v": 5}\n{"k": \n7\n'
+    )
+    raw = stream_json(spark, str(landing), "k BIGINT, v STRING", multi_line=False, rescue=True)
+    table = append_stream(raw, f"rescued_{tmp_path.name}", str(tmp_path / "c"), str(tmp_path / "d"))
+    found = {(r.k, r.v, r._corrupt_record, r._rescued) for r in table.collect()}
+    assert found == {
+        (1, "x", None, None),
+        (2, None, None, '{"coupon":"C9"}'),
+        (None, "5", None, '{"k":"two"}'),
+        (None, None, '{"k": ', None),
+        (None, None, None, "7"),
+    }
+
+
+def test_arrays_are_rescued_record_by_record(spark, tmp_path):
+    landing = tmp_path / "in"
+    land_array(landing, "a.json", [{"k": 1}, {"k": 2, "more": {"a": [1]}}])
+    (landing / "b.json").write_text('[{"k": 3}, {"k":')
+    (landing / "c.json").write_text("[]")
+    raw = stream_json(spark, str(landing), "k BIGINT", rescue=True)
+    table = append_stream(raw, f"arrays_{tmp_path.name}", str(tmp_path / "c"), str(tmp_path / "d"))
+    found = {(r.k, r._corrupt_record, r._rescued) for r in table.collect()}
+    assert found == {(1, None, None), (2, None, '{"more":{"a":[1]}}'), (None, '[{"k": 3}, {"k":', None)}
+
+
+def test_inventory_gold_meets_products_after_the_aggregate(spark, tmp_path, star):
+    lk, landing = lake(spark, tmp_path / "lake"), tmp_path / "in"
+    lk.load_dims(star)
+    land_array(landing, "1.json", TRANSACTIONS)
+    lk.bronze(INVENTORY_TRANSACTIONS, str(landing))
+    plan = lk.quantities_by_key()._jdf.queryExecution().analyzed().toString()
+    below = plan[plan.index("Aggregate") :]
+    assert "product_name" not in below and below.count("Join ") == 1
+
+
+def test_inventory_gold_is_written_once_per_run_and_then_pointed_at(spark, tmp_path, star):
+    lk, landing = lake(spark, tmp_path / "lake"), tmp_path / "in"
+    lk.load_dims(star)
+    folder = tmp_path / "lake" / INVENTORY_TRANSACTIONS.name / "gold" / "data"
+    for n, row in enumerate(TRANSACTIONS):
+        land_array(landing, f"{n}.json", [row])
+    lk.bronze(INVENTORY_TRANSACTIONS, str(landing))
+    first = bag(lk.gold_inventory().collect())
+    assert len(list(folder.iterdir())) == 1
+    land_array(landing, "more.json", [TRANSACTIONS[0]])
+    lk.bronze(INVENTORY_TRANSACTIONS, str(landing))
+    assert bag(lk.gold_inventory().collect()) != first
+    assert len(list(folder.iterdir())) == 2

@@ -3,7 +3,14 @@ from types import SimpleNamespace
 import pytest
 from fixtures import bag, dims, lake, land_array
 
-from tarnlake.operators import audit_database, audit_tables, create_gold, replace_collections, write_dim
+from tarnlake.operators import (
+    audit_database,
+    audit_tables,
+    create_gold,
+    replace_collections,
+    require_unique,
+    write_dim,
+)
 from tarnlake.plans import star
 from tarnlake.plans.workspace import run_folder
 
@@ -80,12 +87,36 @@ def test_audit_of_a_database(spark, tmp_path):
 
 
 def test_run_folders_follow_the_session():
-    def session(master, **settings):
-        return SimpleNamespace(conf=settings, sparkContext=SimpleNamespace(master=master))
+    def session(context_folder=None, **settings):
+        context = SimpleNamespace(getCheckpointDir=lambda: context_folder)
+        return SimpleNamespace(conf=settings, sparkContext=context)
 
-    shared = session("yarn", **{"spark.checkpoint.dir": "hdfs:///shared/"})
+    shared = session(**{"spark.checkpoint.dir": "hdfs:///shared/"})
     a, b = run_folder(shared, "x"), run_folder(shared, "x")
     assert a.startswith("hdfs:///shared/tarnlake-x-") and a != b
-    assert "/tarnlake-x-" in run_folder(session("local[2]"), "x")
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        run_folder(session("yarn"), "x")
+    assert run_folder(session("hdfs:///set"), "x").startswith("hdfs:///set/tarnlake-x-")
+    warehouse = session(**{"spark.sql.warehouse.dir": "hdfs:///warehouse"})
+    assert run_folder(warehouse, "x").startswith("hdfs:///warehouse/tarnlake-x-")
+
+
+def test_a_broken_reload_leaves_every_collection_as_it_was(spark, tmp_path):
+    land_array(tmp_path / "in", "a.json", [{"k": 1}, {"k": 2}])
+    land_array(tmp_path / "in", "b.json", [{"k": 3}])
+    files = {name: str(tmp_path / "in" / f"{name}.json") for name in ("a", "b")}
+    target = str(tmp_path / "out")
+    replace_collections(spark, files, target, schemas={"a": "k INT", "b": "k INT"})
+    land_array(tmp_path / "in", "a.json", [{"k": 9}])
+    (tmp_path / "in" / "b.json").write_text('[{"k": 4}, {"k":')
+    with pytest.raises(Exception, match="[Mm]alformed|FAILED_READ_FILE|JsonEOF"):
+        replace_collections(spark, files, target, schemas={"a": "k INT", "b": "k INT"})
+    for name, expected in (("a", [1, 2]), ("b", [3])):
+        assert sorted(r.k for r in spark.read.json(f"{target}/{name}").collect()) == expected
+    with pytest.raises(ValueError, match="target"):
+        replace_collections(spark, files)
+
+
+def test_dimension_keys_must_be_unique(spark):
+    twice = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (None, "d")], "k INT, v STRING")
+    with pytest.raises(ValueError, match="dim holds k 1 more than once"):
+        require_unique({"dim": twice}, {"dim": "k"})
+    require_unique({"dim": twice.where("v <> 'b'")}, {"dim": "k"})
