@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tarnlake.llm.cutting_stock import cut
 from tarnlake.llm.numbering import cells_for, number_within
 from tarnlake.llm.staging import Stage
-from tarnlake.llm.tokens import encoder
+from tarnlake.llm.tokens import TEXT_BYTES, encoder
 from tarnlake.llm.words import slices
 
 CAPACITY = 4096
@@ -35,7 +35,7 @@ def pieces_of(docs: DataFrame, tokenizer: str, end: int, capacity: int = CAPACIT
 
     def encode(batches):
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, size=TEXT_BYTES):
                 ids, bounds = encoder(tokenizer).encode(part.column("text"), end)
                 raw = memoryview(ids.astype("<u4").tobytes())
                 sizes = np.diff(bounds)

@@ -27,10 +27,10 @@ from pyspark.sql import functions as F
 from tarnlake.llm.numbering import bucket_of, range_bounds
 from tarnlake.llm.perfect_hash import PerfectHash, fingerprints
 from tarnlake.llm.staging import Stage
-from tarnlake.llm.tokens import encoder
+from tarnlake.llm.tokens import TEXT_BYTES, encoder
 from tarnlake.llm.words import slices
 
-DOCS_PER_SHARD = 1024
+DOCS_PER_SHARD = 4096
 KEYS_PER_BUCKET = 4096
 #: Bytes of a shard that are read at once.
 READ_BYTES = 8 << 20
@@ -58,7 +58,7 @@ def _write(batches, root: str, path: str, end: int, width: int):
     shard = name = out = None
     offset, last_id = 0, None
     for batch in batches:
-        for part in slices(batch):
+        for part in slices(batch, size=TEXT_BYTES):
             ids, bounds = encoder(path).encode(part.column("text"), end)
             raw = ids.astype(f"<u{width}")
             numbers = part.column("shard").to_numpy()
