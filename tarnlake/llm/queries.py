@@ -30,7 +30,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def op1_lines(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     return drop_recurring_lines(docs).select(
-        "doc_id", "dropped_lines", F.char_length("text").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256")
+        "doc_id",
+        F.col("dropped_lines").cast("long").alias("dropped_lines"),
+        F.char_length("text").cast("long").alias("kept_chars"),
+        F.sha2("text", 256).alias("kept_sha256"),
     )
 
 
@@ -114,5 +117,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sharding": op9_sharding,
     "op10_minhash": op10_minhash,
 }
-
-ORACLES: dict[str, str] = {}

@@ -37,13 +37,16 @@ class Stage:
                 path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-#: Rows of a written table up to which a join may copy it to every executor (some 100 MB).
-SMALL_ROWS = 1_000_000
+#: Rows, and bytes of its files, up to which a join may copy a written table to every executor.
+SMALL_ROWS, SMALL_BYTES = 1_000_000, 32 << 20
 
 
 def small_or_not(written: DataFrame) -> DataFrame:
-    """A hint to copy a written table to all executors if its rows are few enough.
+    """A hint to copy a written table to all executors if it is small enough.
 
-    Its rows are counted from the files. Beyond the bound the join shuffles both sides.
+    Its rows and bytes are those of its files. Beyond either bound the join is left to Spark,
+    which shuffles both sides; the rows of the result are the same.
     """
-    return F.broadcast(written) if written.count() <= SMALL_ROWS else written
+    size = written._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    small = int(str(size)) <= SMALL_BYTES and written.count() <= SMALL_ROWS
+    return F.broadcast(written) if small else written

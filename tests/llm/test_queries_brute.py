@@ -1,14 +1,17 @@
 """Every registered query over the small corpus, against plain versions of its contract."""
 
 import hashlib
+import os
 import zlib
 from collections import Counter, defaultdict
 
 import brute
 import numpy as np
+import parity
 import pytest
 
 from tarnlake.llm.jump_sharding import jump_hash
+from tarnlake.llm.oracles import ORACLES
 from tarnlake.llm.queries import QUERIES
 from tarnlake.llm.tokens import public_tokenizer
 
@@ -218,3 +221,16 @@ def test_op10_classes_match_all_pairs(spark, corpus, rows):
 
 def test_every_query_has_its_number():
     assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+
+
+@pytest.mark.parametrize("name", ORACLES)
+def test_sql_gives_the_same_rows(spark, corpus, name):
+    assert parity.difference(QUERIES[name](spark, corpus), corpus, ORACLES[name]) is None
+
+
+@pytest.mark.parametrize("name", ORACLES)
+def test_sql_over_the_sample_tables(spark, name):
+    folder = "/root/testdata/sf0.01"
+    if not os.path.isdir(folder):
+        pytest.skip("no test tables here")
+    assert parity.difference(QUERIES[name](spark, folder), folder, ORACLES[name]) is None
