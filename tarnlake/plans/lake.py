@@ -61,6 +61,11 @@ class Lake:
         )
         return self
 
+    def drop(self) -> None:
+        """Delete the database and everything under the lake's folder."""
+        self.spark.sql(f"DROP DATABASE IF EXISTS {self.database} CASCADE")
+        remove(self.spark, self.root)
+
     def qualified(self, table: str) -> str:
         return f"{self.database}.{table}"
 

@@ -120,3 +120,11 @@ def test_dimension_keys_must_be_unique(spark):
     with pytest.raises(ValueError, match="dim holds k 1 more than once"):
         require_unique({"dim": twice}, {"dim": "k"})
     require_unique({"dim": twice.where("v <> 'b'")}, {"dim": "k"})
+
+
+def test_a_dropped_lake_leaves_nothing(spark, tmp_path):
+    lk = lake(spark, tmp_path / "gone")
+    write_dim(spark.range(5).toDF("k"), lk.qualified("dim_x"), path=f"{lk.root}/dimensions/dim_x")
+    lk.drop()
+    assert not spark.catalog.databaseExists(lk.database)
+    assert not (tmp_path / "gone").exists()
