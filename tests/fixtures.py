@@ -14,6 +14,10 @@ from tarnlake.plans import star
 from tarnlake.plans.lake import Lake
 
 
+# Column names and status words in the rows below are those of the data model
+# that the feeds use. All other values are invented.
+
+
 def bag(rows):
     return Counter(tuple(row) for row in rows)
 
