@@ -6,7 +6,7 @@ stand twice; what is left is packed into sequences of token ids.
 
 Null and empty texts pass the first three stages, are never in the mix, and so are not
 packed. Empty tables give empty results. Columns beside those of ``documents`` are carried
-to the last stage, which returns pieces of documents with their place in a sequence.
+up to the last stage, which returns pieces of documents with their place in a sequence.
 """
 
 from __future__ import annotations
@@ -52,8 +52,11 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in sequences of at most 4096 ids, with the ids."""
-    return pack_documents(docs, public_tokenizer(), END, with_ids=True)
+    """Where each piece of each document stands in the sequences of at most 4096 ids.
+
+    The ids themselves are not moved here; ``pack_documents(with_ids=True)`` carries them.
+    """
+    return pack_documents(docs, public_tokenizer(), END)
 
 
 STAGES = [

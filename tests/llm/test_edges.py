@@ -106,6 +106,11 @@ def test_packing_of_odd_rows(odd):
     assert {r.doc_tokens for r in rows if r.doc_id in (2, 3, 4)} == {1}
 
 
+def test_packing_carries_ids(odd):
+    packed = pack_documents(odd, public_tokenizer(), 2, with_ids=True)
+    assert packed.where("octet_length(ids) <> 4 * length or crc32(ids) <> ids_crc32").count() == 0
+
+
 def test_lines_of_odd_rows_and_hot_lines(spark):
     common = "the very same line of text here"
     rows = [(i, f"own words {i} and nothing else to see\n{common}\nshort one", "en", "s", 0) for i in range(50)]
