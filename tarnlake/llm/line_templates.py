@@ -32,7 +32,10 @@ def lines_of(text: Column) -> Column:
 
 def tokens(line: Column) -> Column:
     """Tokens of a line, variable ones replaced; an empty line has one empty token."""
-    return F.split(F.regexp_replace(F.btrim(line, F.lit(SPACES)), VARIABLE, FIELD), r"[\x20\x09-\x0D]+")
+    bare = F.btrim(line, F.lit(SPACES))
+    # Most lines hold no digit, and the pattern would search every word of them in vain.
+    masked = F.when(bare.rlike("[0-9]"), F.regexp_replace(bare, VARIABLE, FIELD)).otherwise(bare)
+    return F.split(masked, r"[\x20\x09-\x0D]+")
 
 
 def _parsed(docs: DataFrame, depth: int) -> DataFrame:
