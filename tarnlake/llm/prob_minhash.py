@@ -197,15 +197,53 @@ def _star(members: DataFrame, highest: bool, similar: float) -> DataFrame:
 
 
 def _rest(members: DataFrame, similar: float) -> DataFrame:
-    """Every possible pair of members of a bucket that are still in different components."""
+    """Possible pairs of a bucket in different components, one of which repeats a shingle."""
     one = members.select("band", "key", F.struct(*MEMBER).alias("one"))
-    other = members.select(F.col("band").alias("__band"), F.col("key").alias("__key"), F.struct(*MEMBER).alias("other"))
+    other = members.where("repeats").select(
+        F.col("band").alias("__band"), F.col("key").alias("__key"), F.struct(*MEMBER).alias("other")
+    )
     same = (F.col("band") == F.col("__band")) & (F.col("key") == F.col("__key"))
-    apart = (F.col("one.doc_id") < F.col("other.doc_id")) & (F.col("one.component") != F.col("other.component"))
+    once = ~F.col("one.repeats") | (F.col("one.doc_id") < F.col("other.doc_id"))
+    apart = once & (F.col("one.component") != F.col("other.component"))
     met = one.join(other, same & apart & _may_be_near("one", "other", similar))
     return met.select(*_pair("one", "other")).distinct()
 
 
+def _elements(batches):
+    for batch in batches:
+        for part in slices(batch):
+            text, element, _ = counted(part.column("text"))
+            ids = part.column("doc_id").take(pa.array(text))
+            yield pa.RecordBatch.from_arrays([ids, pa.array(element.view(np.int64))], ["doc_id", "element"])
+
+
+def _rare(members: DataFrame, texts: DataFrame, similar: float, stage: Stage) -> DataFrame:
+    """Possible pairs of members in different components that repeat no shingle.
+
+    Two sets at this similarity share one of the rarest elements of each, a fifth of it at
+    0.8 (prefix filtering, Chaudhuri et al., 2006). A passage that thousands of texts
+    share is no rare element of texts that have enough of their own, so these never meet.
+    """
+    own = members.where("not repeats").select(F.struct(*MEMBER).alias("member"), "doc_id").distinct()
+    own = stage.put(own, "rare-members")
+    ids = small_or_not(own).select(F.col("doc_id").alias("wanted"))
+    wanted = texts.join(ids, F.col("doc_id") == F.col("wanted"), "left_semi")
+    elements = stage.put(wanted.mapInArrow(_elements, "doc_id long, element long"), "elements")
+    common = elements.groupBy("element").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1")
+    shared = elements.join(common, "element").groupBy("doc_id").agg(
+        F.sort_array(F.collect_list(F.struct("texts", "element"))).alias("shared")
+    )
+    size = F.col("member.size")
+    prefix = size - F.ceil(size * F.lit(similar) - F.lit(1e-9)) + 1
+    room = F.greatest(prefix - (size - F.size("shared")), F.lit(0)).cast("int")
+    rare = own.join(shared, "doc_id").select("member", F.explode(F.slice("shared", F.lit(1), room)).alias("rare"))
+    rare = stage.put(rare.select("member", F.col("rare.element").alias("element")), "rare")
+    one, other = rare.withColumnRenamed("member", "one"), rare.select(F.col("member").alias("other"), F.col("element").alias("__element"))
+    apart = (F.col("one.doc_id") < F.col("other.doc_id")) & (F.col("one.component") != F.col("other.component"))
+    met = one.join(other, (F.col("element") == F.col("__element")) & apart & _may_be_near("one", "other", similar))
+    return met.select(*_pair("one", "other")).distinct()
+
+
 def _open(members: DataFrame) -> DataFrame:
     """Members of buckets that hold more than one component."""
     mixed = (
@@ -226,9 +264,10 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
 
     Candidates are texts that agree in a band. In each bucket members first meet its
     smallest one, then, where that leaves several components, its largest, and at last
-    every member of another component. So a pair of a bucket is either ruled out by its
-    sketches or sizes, or compared, or already in one class, and a group of a thousand near
-    copies costs about a thousand comparisons.
+    the members of other components that share one of its rare shingles (all of them for
+    texts that repeat a shingle). So a pair of a bucket is either ruled out by sketches,
+    sizes or rare shingles, or compared, or already in one class, and a group of a thousand
+    near copies costs about a thousand comparisons.
 
     Texts of fewer than five words are one shingle of all of them; null and empty texts are
     near nothing, not even each other. A null doc_id stands alone. Rows that repeat a
@@ -251,7 +290,10 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     for turn in range(STAR_ROUNDS + 1):
         labelled = stage.put(_open(_labelled(members, links, stage)), "open")
         last = turn == STAR_ROUNDS
-        pairs = _rest(labelled, similar) if last else _star(labelled, turn % 2 == 1, similar)
+        if last:
+            pairs = _rest(labelled, similar).unionByName(_rare(labelled, texts, similar, stage)).distinct()
+        else:
+            pairs = _star(labelled, turn % 2 == 1, similar)
         if compared is not None:
             pairs = pairs.join(compared, ["a", "b"], "left_anti")
         pairs = stage.put(pairs, "pairs")
