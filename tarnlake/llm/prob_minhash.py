@@ -10,13 +10,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnlake.llm.components import components
 from tarnlake.llm.hashing import salted, unit
-from tarnlake.llm.staging import Stage, small_or_not
+from tarnlake.llm.staging import Stage, small_batches, small_or_not
 from tarnlake.llm.words import shingles, slices, word_hashes
 
 SHINGLE = 5
@@ -134,18 +135,19 @@ def probability_jaccard(one: pa.Array, other: pa.Array, k: int = SHINGLE) -> np.
 def _verified(pairs: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
     """The pairs a, b whose texts are similar enough."""
 
-    @F.arrow_udf("double")
-    def similarity(one: pa.Array, other: pa.Array) -> pa.Array:
-        both = pa.RecordBatch.from_arrays([one, other], ["text", "other"])
-        found = [probability_jaccard(p.column("text"), p.column("other")) for p in slices(both)]
-        return pa.array(np.concatenate([np.zeros(0), *found]))
+    def verify(batches):
+        for batch in batches:
+            for part in slices(batch, "text_b", 1 << 20):
+                score = pa.array(probability_jaccard(part.column("text_a"), part.column("text_b")))
+                scored = pa.RecordBatch.from_arrays(
+                    [part.column("a"), part.column("b"), score], ["a", "b", "similarity"]
+                )
+                yield scored.filter(pc.greater_equal(score, similar))
 
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     with_texts = pairs.join(left, "a").join(right, "b")
-    return with_texts.withColumn("similarity", similarity("text_a", "text_b")).where(
-        F.col("similarity") >= similar
-    ).select("a", "b", "similarity")
+    return with_texts.mapInArrow(verify, "a long, b long, similarity double")
 
 
 def _labelled(members: DataFrame, links: DataFrame | None, stage: Stage) -> DataFrame:
@@ -297,7 +299,8 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
         if compared is not None:
             pairs = pairs.join(compared, ["a", "b"], "left_anti")
         pairs = stage.put(pairs, "pairs")
-        found = stage.put(_verified(pairs, texts, similar), "links")
+        with small_batches(docs.sparkSession):
+            found = stage.put(_verified(pairs, texts, similar), "links")
         compared = pairs if compared is None else compared.unionByName(pairs)
         links = found if links is None else links.unionByName(found)
     found = components(links.select("a", "b"), stage)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,3 +53,21 @@ def small_or_not(written: DataFrame) -> DataFrame:
     size = written._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     small = int(str(size)) <= SMALL_BYTES and written.count() <= SMALL_ROWS
     return F.broadcast(written) if small else written
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Hand Python workers fewer rows at once while the jobs started inside run.
+
+    For rows that hold several texts, which would fill much memory at the usual number.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
