@@ -26,6 +26,8 @@ SIMILAR = 0.8
 #: Four bits of each register are kept as a sketch. Texts at a similarity of 0.8 agree in 52 of
 #: 64 on average; fewer than 1 in 1000 such pairs agree in less than this many.
 SKETCH_AGREES = 42
+#: Bits of the odd sketch of a text's set of shingles (Mitzenmacher et al., 2014).
+ODD_BITS = 1024
 #: Rounds that link the open members of a bucket to one of them before all are compared.
 STAR_ROUNDS = 2
 
@@ -81,6 +83,13 @@ def sketches(signature: np.ndarray) -> np.ndarray:
     return np.bitwise_or.reduce(nibbles << shifts, axis=2).view(np.int64)
 
 
+def odd_sketches(text: np.ndarray, element: np.ndarray, n: int) -> np.ndarray:
+    """Parity of the distinct elements on each bit: two differ in no more bits than elements."""
+    bit = (salted(element, 1 << 50) % np.uint64(ODD_BITS)).astype(np.int64)
+    parity = np.bincount(text * ODD_BITS + bit, minlength=n * ODD_BITS) & 1
+    return np.packbits(parity.astype(np.uint8).reshape(n, ODD_BITS), axis=1).view(np.int64)
+
+
 def _signed(batches):
     for batch in batches:
         for part in slices(batch):
@@ -96,8 +105,8 @@ def _signed(batches):
             )
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(digests, pa.binary()), lists(keys), lists(sketch),
-                 pa.array(size), pa.array(repeats)],
-                ["doc_id", "digest", "bands", "sketch", "size", "repeats"],
+                 lists(odd_sketches(text, element, len(texts))), pa.array(size), pa.array(repeats)],
+                ["doc_id", "digest", "bands", "sketch", "odd", "size", "repeats"],
             )
 
 
@@ -162,7 +171,9 @@ def _labelled(members: DataFrame, links: DataFrame | None, stage: Stage) -> Data
 def _may_be_near(one: str, other: str, similar: float) -> Column:
     """Whether sketches and sizes leave it possible that two members are similar enough.
 
-    Texts without a repeated shingle are sets, and no set is similar to a much larger one.
+    Texts without a repeated shingle are sets. No set is similar to a much larger one, or
+    to one from which it differs in more elements than the similarity allows; their odd
+    sketches differ in at most as many bits. Both bounds are exact.
     """
     agree = F.lit(0)
     for i in range(REGISTERS // 16):
@@ -171,8 +182,12 @@ def _may_be_near(one: str, other: str, similar: float) -> Column:
         any_bit = pairs.bitwiseOR(F.shiftrightunsigned(pairs, 2)).bitwiseAND(F.lit(0x1111111111111111))
         agree = agree + F.lit(16) - F.bit_count(any_bit)
     small, large = F.least(f"{one}.size", f"{other}.size"), F.greatest(f"{one}.size", f"{other}.size")
-    sized = F.col(f"{one}.repeats") | F.col(f"{other}.repeats") | (small >= large * F.lit(similar))
-    return sized & (agree >= SKETCH_AGREES)
+    apart = F.lit(0)
+    for i in range(ODD_BITS // 64):
+        apart = apart + F.bit_count(F.get(f"{one}.odd", F.lit(i)).bitwiseXOR(F.get(f"{other}.odd", F.lit(i))))
+    allowed = (small + large) * F.lit((1 - similar) / (1 + similar) + 1e-9)
+    repeats = F.col(f"{one}.repeats") | F.col(f"{other}.repeats")
+    return (repeats | ((small >= large * F.lit(similar)) & (apart <= allowed))) & (agree >= SKETCH_AGREES)
 
 
 def _pair(one: str, other: str) -> list[Column]:
@@ -180,7 +195,7 @@ def _pair(one: str, other: str) -> list[Column]:
     return [F.least(*ids).alias("a"), F.greatest(*ids).alias("b")]
 
 
-MEMBER = ("doc_id", "component", "sketch", "size", "repeats")
+MEMBER = ("doc_id", "component", "sketch", "odd", "size", "repeats")
 
 
 def _star(members: DataFrame, highest: bool, similar: float) -> DataFrame:
@@ -277,12 +292,12 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """
     stage = Stage(docs.sparkSession, "near")
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    schema = "doc_id long, digest binary, bands array<long>, sketch array<long>, size long, repeats boolean"
+    schema = "doc_id long, digest binary, bands array<long>, sketch array<long>, odd array<long>, size long, repeats boolean"
     signed = stage.put(plain.mapInArrow(_signed, schema), "signatures")
     usable = signed.where("size > 0 and doc_id is not null")
-    first = F.min(F.struct("doc_id", "bands", "sketch", "size", "repeats")).alias("first")
+    first = F.min(F.struct("doc_id", "bands", "sketch", "odd", "size", "repeats")).alias("first")
     classes = stage.put(usable.groupBy("digest").agg(first).select("digest", "first.*"), "classes")
-    banded = classes.select("doc_id", "sketch", "size", "repeats", F.posexplode("bands").alias("band", "key"))
+    banded = classes.select("doc_id", "sketch", "odd", "size", "repeats", F.posexplode("bands").alias("band", "key"))
     shared = banded.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "key")
     members = stage.put(banded.join(shared, ["band", "key"], "left_semi"), "members")
     candidates = stage.put(members.select("doc_id").distinct(), "candidates")
