@@ -22,8 +22,8 @@ from tarnlake.llm.hashing import uniform_of
 from tarnlake.llm.staging import Stage, small_or_not
 from tarnlake.llm.words import WORD
 
-#: Documents of one source that meet in one task run of the first level, on average.
-ROWS_PER_NODE = 1024
+#: Documents, of all sources, that share a node of the first level on average.
+ROWS_PER_NODE = 256
 #: Residuals that meet in one node of a later level.
 FAN_IN = 64
 
@@ -139,8 +139,8 @@ def mix_sources(
     a source of its own, the last. Repeated rows are documents of their own. An empty
     table gives an empty result. Reruns agree: draws depend on keys and seed alone.
 
-    A source of any share of the rows is dealt over nodes of about ``ROWS_PER_NODE``
-    documents; each leaves at most one residual, and ``FAN_IN`` of these meet in a node of
+    A source of any share of the rows is dealt over nodes of at most about ``ROWS_PER_NODE``
+    of its documents; each leaves at most one residual, and ``FAN_IN`` of these meet in a node of
     the next level. A task streams its rows and holds one.
     """
     spark = docs.sparkSession
