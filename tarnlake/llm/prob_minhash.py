@@ -98,15 +98,15 @@ def _signed(batches):
             signature = signatures(text, element, weight, len(texts))
             keys, sketch = band_keys(signature), sketches(signature)
             size = np.bincount(text, minlength=len(texts))
-            repeats = np.bincount(text, weight > 1, minlength=len(texts)) > 0
+            total = np.bincount(text, weight, minlength=len(texts)).astype(np.int64)
             digests = [xxhash.xxh3_128_digest(x or "") for x in texts.to_pylist()]
             lists = lambda rows: pa.ListArray.from_arrays(
                 np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1], rows.ravel()
             )
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(digests, pa.binary()), lists(keys), lists(sketch),
-                 lists(odd_sketches(text, element, len(texts))), pa.array(size), pa.array(repeats)],
-                ["doc_id", "digest", "bands", "sketch", "odd", "size", "repeats"],
+                 lists(odd_sketches(text, element, len(texts))), pa.array(size), pa.array(total), pa.array(total > size)],
+                ["doc_id", "digest", "bands", "sketch", "odd", "size", "total", "repeats"],
             )
 
 
@@ -171,9 +171,11 @@ def _labelled(members: DataFrame, links: DataFrame | None, stage: Stage) -> Data
 def _may_be_near(one: str, other: str, similar: float) -> Column:
     """Whether sketches and sizes leave it possible that two members are similar enough.
 
-    Texts without a repeated shingle are sets. No set is similar to a much larger one, or
-    to one from which it differs in more elements than the similarity allows; their odd
-    sketches differ in at most as many bits. Both bounds are exact.
+    Two bounds are exact. Texts without a repeated shingle are sets, and no set is similar
+    to a much larger one. And with n distinct shingles of t in all, an element of one text
+    alone wins the race of both with probability 1 / (t + t' - common) at least, so texts at
+    similarity s differ in at most (1 - s) / (1 + s) * (2t + 2t' - n - n') elements; their
+    odd sketches differ in no more bits than that.
     """
     agree = F.lit(0)
     for i in range(REGISTERS // 16):
@@ -185,9 +187,11 @@ def _may_be_near(one: str, other: str, similar: float) -> Column:
     apart = F.lit(0)
     for i in range(ODD_BITS // 64):
         apart = apart + F.bit_count(F.get(f"{one}.odd", F.lit(i)).bitwiseXOR(F.get(f"{other}.odd", F.lit(i))))
-    allowed = (small + large) * F.lit((1 - similar) / (1 + similar) + 1e-9)
+    runs = (F.col(f"{one}.total") + F.col(f"{other}.total")) * F.lit(2) - small - large
+    allowed = runs * F.lit((1 - similar) / (1 + similar) + 1e-9)
     repeats = F.col(f"{one}.repeats") | F.col(f"{other}.repeats")
-    return (repeats | ((small >= large * F.lit(similar)) & (apart <= allowed))) & (agree >= SKETCH_AGREES)
+    sized = repeats | (small >= large * F.lit(similar))
+    return sized & (apart <= allowed) & (agree >= SKETCH_AGREES)
 
 
 def _pair(one: str, other: str) -> list[Column]:
@@ -195,7 +199,7 @@ def _pair(one: str, other: str) -> list[Column]:
     return [F.least(*ids).alias("a"), F.greatest(*ids).alias("b")]
 
 
-MEMBER = ("doc_id", "component", "sketch", "odd", "size", "repeats")
+MEMBER = ("doc_id", "component", "sketch", "odd", "size", "total", "repeats")
 
 
 def _star(members: DataFrame, highest: bool, similar: float) -> DataFrame:
@@ -292,12 +296,12 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """
     stage = Stage(docs.sparkSession, "near")
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    schema = "doc_id long, digest binary, bands array<long>, sketch array<long>, odd array<long>, size long, repeats boolean"
+    schema = "doc_id long, digest binary, bands array<long>, sketch array<long>, odd array<long>, size long, total long, repeats boolean"
     signed = stage.put(plain.mapInArrow(_signed, schema), "signatures")
     usable = signed.where("size > 0 and doc_id is not null")
-    first = F.min(F.struct("doc_id", "bands", "sketch", "odd", "size", "repeats")).alias("first")
+    first = F.min(F.struct("doc_id", "bands", "sketch", "odd", "size", "total", "repeats")).alias("first")
     classes = stage.put(usable.groupBy("digest").agg(first).select("digest", "first.*"), "classes")
-    banded = classes.select("doc_id", "sketch", "odd", "size", "repeats", F.posexplode("bands").alias("band", "key"))
+    banded = classes.select(*MEMBER[:1], *MEMBER[2:], F.posexplode("bands").alias("band", "key"))
     shared = banded.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "key")
     members = stage.put(banded.join(shared, ["band", "key"], "left_semi"), "members")
     candidates = stage.put(members.select("doc_id").distinct(), "candidates")
