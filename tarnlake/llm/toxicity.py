@@ -21,6 +21,8 @@ from tarnlake.llm.words import slices, split
 #: Characters that are cut off both ends of a word.
 OUTER = ".,;:!?\"'()[]{}<>*&%$#|-_…«»¿¡"
 PREFIXES = (4, 5)
+#: Text bytes scored at once: their distinct words and terms are Python objects for a while.
+SCORED_BYTES = 1 << 20
 
 
 def terms(word: str) -> tuple[str, ...]:
@@ -169,7 +171,7 @@ def fit(
 
     def extract(batches):
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, size=SCORED_BYTES):
                 doc, slot = text_slots(part.column("text"), bits)
                 bounds = np.searchsorted(doc, np.arange(part.num_rows + 1)).astype(np.int32)
                 found = pa.ListArray.from_arrays(bounds, slot.astype(np.int32))
@@ -198,7 +200,7 @@ def toxic_score(machine: Machine, text: str = "text") -> Column:
     def score(texts: pa.Array) -> pa.Array:
         batch = pa.RecordBatch.from_arrays([texts.cast(pa.string())], ["text"])
         scores = [np.zeros(0)]
-        for part in slices(batch):
+        for part in slices(batch, size=SCORED_BYTES):
             doc, slot = text_slots(part.column("text"), machine.bits, live)
             scores.append(probability(machine.margins(doc, slot, part.num_rows)))
         return pa.array(np.concatenate(scores))

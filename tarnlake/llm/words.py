@@ -30,6 +30,7 @@ def slices(batch: pa.RecordBatch, column: str = "text", size: int = SLICE_BYTES)
     starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
     for start, end in zip(starts, np.r_[starts[1:], batch.num_rows], strict=True):
         yield batch.slice(start, end - start)
+    pa.default_memory_pool().release_unused()  # an idle worker would keep it for a minute
 
 
 def split(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
