@@ -92,7 +92,7 @@ def odd_sketches(text: np.ndarray, element: np.ndarray, n: int) -> np.ndarray:
 
 def _signed(batches):
     for batch in batches:
-        for part in slices(batch):
+        for part in slices(batch, size=1 << 20):
             texts = part.column("text")
             text, element, weight = counted(texts)
             signature = signatures(text, element, weight, len(texts))
@@ -301,15 +301,18 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     usable = signed.where("size > 0 and doc_id is not null")
     first = F.min(F.struct("doc_id", "bands", "sketch", "odd", "size", "total", "repeats")).alias("first")
     classes = stage.put(usable.groupBy("digest").agg(first).select("digest", "first.*"), "classes")
-    banded = classes.select(*MEMBER[:1], *MEMBER[2:], F.posexplode("bands").alias("band", "key"))
+    banded = classes.select("doc_id", F.posexplode("bands").alias("band", "key"))
     shared = banded.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "key")
     members = stage.put(banded.join(shared, ["band", "key"], "left_semi"), "members")
     candidates = stage.put(members.select("doc_id").distinct(), "candidates")
+    traits = classes.select("doc_id", *MEMBER[2:])
+    traits = stage.put(traits.join(small_or_not(candidates), "doc_id", "left_semi"), "traits")
     texts = stage.put(plain.join(small_or_not(candidates), "doc_id", "left_semi"), "texts")
 
     compared = links = None
     for turn in range(STAR_ROUNDS + 1):
-        labelled = stage.put(_open(_labelled(members, links, stage)), "open")
+        opened = _open(_labelled(members, links, stage))
+        labelled = stage.put(opened.join(small_or_not(traits), "doc_id"), "open")
         last = turn == STAR_ROUNDS
         if last:
             pairs = _rest(labelled, similar).unionByName(_rare(labelled, texts, similar, stage)).distinct()
