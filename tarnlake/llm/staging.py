@@ -27,6 +27,12 @@ class Stage:
         self._count += 1
         return f"{self.root}/{self._count:03d}-{name}"
 
+    def qualified(self, path: str) -> str:
+        """``path`` with the scheme of the file system that Spark takes it to be on."""
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        system = place.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return system.makeQualified(place).toString()
+
     def put(self, df: DataFrame, name: str) -> DataFrame:
         """``df`` written and read again."""
         return stored(df, self.path(name))

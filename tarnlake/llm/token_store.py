@@ -126,7 +126,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end: int, vocabulary: int) ->
         .repartition(len(bounds) + 1, "shard")
         .sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first())
     )
-    root = stage.path("shards")
+    root = stage.qualified(stage.path("shards"))
     system, folder = located(root)
     system.create_dir(folder, recursive=True)
     entries = stage.put(
