@@ -17,13 +17,13 @@ from pyspark.sql import functions as F
 from tarnlake.llm.line_templates import drop_recurring_lines
 from tarnlake.llm.mixing import mixed
 from tarnlake.llm.packing import pack_documents
-from tarnlake.llm.prob_minhash import without_near_duplicates
+from tarnlake.llm.prob_minhash import near_duplicates, without_near_duplicates
 from tarnlake.llm.staging import Stage
 from tarnlake.llm.tokens import public_tokenizer
 from tarnlake.llm.toxicity import without_toxic
 
-#: A document that would lose more than this share of its text to line dedup is a copy, which
-#: is left whole for the next stage to judge.
+#: A document that would lose more than this share of its text to line dedup is left for the
+#: next stage to judge, if it is a near copy of another; boilerplate goes from it all the same.
 SPARE = 0.5
 #: Id put after each document.
 END = 2
@@ -36,7 +36,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines whose template recurs; ``n_chars`` is that of what is left."""
-    cleaned = drop_recurring_lines(docs, spare=SPARE)
+    cleaned = drop_recurring_lines(docs, spare=SPARE, classes=near_duplicates)
     length = F.when(F.col("dropped_lines") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
     return cleaned.withColumn("n_chars", length.cast("long")).select(*docs.columns)
 

@@ -89,3 +89,19 @@ def test_nulls_repeats_and_clashing_columns(spark, corpus, name):
     assert result.count() > 0
     if name in ("toxicity", "near_dedup", "mixing"):
         assert result.columns == docs.columns
+
+
+def test_boilerplate_goes_from_documents_that_are_mostly_boilerplate(spark, corpus):
+    """Pages of 60 % notices and 40 % own text, and three copies of a page with the same notices."""
+    notices = [" ".join(f"notice{n}word{w}" for w in "abcdefghijkl") for n in ("x", "y", "z")]
+    own = lambda i: " ".join(f"own{chr(97 + i)}{chr(97 + j)}" for j in range(24))
+    pages = [(i, "\n".join([*notices, own(i)])) for i in range(6)]
+    copy = "\n".join([*notices, own(20), own(21)])
+    docs = spark.createDataFrame(
+        [(i, t, "en", "a", len(t)) for i, t in [*pages, *[(10 + i, copy) for i in range(3)]]],
+        "doc_id long, text string, lang string, source string, n_chars long",
+    )
+    after = dict(pairs(STAGES["line_dedup"](spark, docs, corpus)))
+    assert after[0] == pages[0][1]
+    assert all(after[i] == own(i) for i in range(1, 6))
+    assert all(after[i] == f"{own(20)}\n{own(21)}" for i in range(10, 13))
