@@ -73,5 +73,50 @@ LEFT JOIN counts ON counts.a = vec_id
 LEFT JOIN least ON least.a = vec_id
 """
 
+#: Every order of five filters over counts of whole texts.
+FILTERS = r"""
+WITH counted AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+    FROM documents),
+firsts AS (SELECT text, min(doc_id) AS least_id FROM counted GROUP BY text),
+marks AS (
+    SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS bad
+    FROM labels GROUP BY doc_id),
+failed AS (
+    SELECT part, coalesce(good, 0) AS good, coalesce(bad, 0) AS bad,
+           [len(words) < 200,
+            100 * len(list_distinct(words)) < 50 * len(words),
+            100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text),
+            regexp_matches(text, '[#$%&*|]'),
+            coalesce(counted.doc_id > least_id, false)] AS f
+    FROM counted JOIN firsts USING (text) LEFT JOIN marks ON marks.doc_id = counted.doc_id),
+sets AS (
+    SELECT part, f, count(*) AS n, sum(good) AS n_good, sum(bad) AS n_bad,
+           f[1]::int + f[2]::int + f[3]::int + f[4]::int + f[5]::int AS fails
+    FROM failed GROUP BY ALL),
+letters AS (SELECT unnest(range(1, 6)) AS i),
+orders AS (
+    SELECT [a.i, b.i, c.i, d.i, e.i] AS o
+    FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+steps AS (SELECT o, generate_subscripts(o, 1) AS step, unnest(o) AS own FROM orders),
+placed AS (
+    SELECT part, o, step, n, n_good, n_bad, fails, f[own] AS hit,
+           len(list_filter(o[1:step - 1], lambda i: f[i])) > 0 AS gone
+    FROM sets, steps)
+SELECT part, array_to_string(list_transform(o, lambda i: substr('ABCDE', i, 1)), '') AS filter_order,
+       CAST(step AS INTEGER) AS step,
+       CAST(sum(CASE WHEN NOT gone AND NOT hit THEN n ELSE 0 END) AS BIGINT) AS kept,
+       CAST(sum(CASE WHEN NOT gone AND hit THEN n ELSE 0 END) AS BIGINT) AS removed,
+       CAST(sum(CASE WHEN gone AND hit THEN n ELSE 0 END) AS BIGINT) AS redundant,
+       CAST(sum(CASE WHEN hit AND fails = 1 THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+       CAST(sum(CASE WHEN NOT gone AND hit THEN n_good ELSE 0 END) AS BIGINT) AS good_lost,
+       CAST(sum(CASE WHEN NOT gone AND hit THEN n_bad ELSE 0 END) AS BIGINT) AS toxic_lost,
+       CAST(sum(CASE WHEN hit THEN n * 120 // fails ELSE 0 END) AS BIGINT) AS shapley
+FROM placed
+GROUP BY part, o, step
+"""
+
 #: Queries without SQL hash, draw, train or tokenize; tests hold them against brute force.
-ORACLES: dict[str, str] = {"op1_lines": LINES, "op8_embeddings": VECTORS}
+ORACLES: dict[str, str] = {"op1_lines": LINES, "op8_embeddings": VECTORS, "op13_filters": FILTERS}

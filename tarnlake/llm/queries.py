@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnlake.llm.compact_windows import repeated_passages
+from tarnlake.llm.dimension_scan import nearest_vectors
+from tarnlake.llm.filter_audit import audit_filters
 from tarnlake.llm.jump_sharding import shard_of, with_shards, with_slots
 from tarnlake.llm.line_templates import drop_recurring_lines
 from tarnlake.llm.mixing import mix_sources
@@ -17,6 +19,7 @@ from tarnlake.llm.subspace_join import near_vectors
 from tarnlake.llm.token_store import read_all, write_tokens
 from tarnlake.llm.tokens import public_tokenizer
 from tarnlake.llm.toxicity import fit, held_out, with_toxicity
+from tarnlake.llm.whitening import whitened_vectors
 from tarnlake.llm.winnowing import fingerprint, likeness, with_next, written
 
 #: Ids of the public word tokenizer.
@@ -105,6 +108,18 @@ def op10_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
+def op11_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest_vectors(table(spark, folder, "embeddings"))
+
+
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitened_vectors(table(spark, folder, "embeddings"))
+
+
+def op13_filters(spark: SparkSession, folder: str) -> DataFrame:
+    return audit_filters(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lines": op1_lines,
     "op2_mixing": op2_mixing,
@@ -116,4 +131,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embeddings": op8_embeddings,
     "op9_sharding": op9_sharding,
     "op10_minhash": op10_minhash,
+    "op11_nearest": op11_nearest,
+    "op12_whitening": op12_whitening,
+    "op13_filters": op13_filters,
 }
