@@ -207,7 +207,9 @@ def _assigned(indexes: dict[int, Index], probing: bool) -> Callable[[Iterator[pa
     return assign
 
 
-FOUND = "query long, member long, score double"
+#: A class of equal vectors is told by its smallest id and a hash: an id may occur with several vectors.
+CLASS = ("least", "member")
+FOUND = "query long, least long, member long, score double"
 
 
 def _scanned(asked: DataFrame, listed: DataFrame, indexes: dict[int, Index], nearest: int) -> DataFrame:
@@ -228,27 +230,27 @@ def _scanned(asked: DataFrame, listed: DataFrame, indexes: dict[int, Index], nea
         *cell, "query", "embedding", "bound", mine("query", "guests").alias("guest"), each("homes").alias("home")
     )
     right = listed.join(met, cell).select(
-        *cell, "member", "embedding", mine("member", "homes").alias("home"), each("guests").alias("guest")
+        *cell, *CLASS, "embedding", mine("member", "homes").alias("home"), each("guests").alias("guest")
     )
 
     def meet(asking: pa.Table, having: pa.Table) -> pa.Table:
-        names = ["query", "member", "score"]
+        names = ["query", *CLASS, "score"]
         if asking.num_rows == 0 or having.num_rows == 0:
-            return pa.table([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.float64())], names)
+            return pa.table([*[pa.array([], pa.int64())] * 3, pa.array([], pa.float64())], names)
         index = indexes[asking.column("dim")[0].as_py()]
-        ids = having.column("member").to_numpy()
+        least, member = (having.column(name).to_numpy() for name in CLASS)
         i, j, score = scan(
             matrix(asking.column("embedding"), index.dim), matrix(having.column("embedding"), index.dim),
-            asking.column("bound").to_numpy(), ids, index.longest, nearest,
+            asking.column("bound").to_numpy(), least, index.longest, nearest,
         )
-        return pa.table([asking.column("query").to_numpy()[i], ids[j], score], names)
+        return pa.table([asking.column("query").to_numpy()[i], least[j], member[j], score], names)
 
     keys = [*cell, "home", "guest"]
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(meet, FOUND)
 
 
 def _best(found: DataFrame, nearest: int) -> DataFrame:
-    order = Window.partitionBy("query").orderBy(F.desc("score"), "member")
+    order = Window.partitionBy("query").orderBy(F.desc("score"), *CLASS)
     return found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= nearest)
 
 
@@ -291,23 +293,24 @@ def nearest_vectors(vectors: DataFrame, every: int = EVERY, nearest: int = NEARE
     )
     digest = [F.xxhash64("embedding").alias("d1"), F.xxhash64(F.lit(1), "embedding").alias("d2")]
     keyed = plain.select("vec_id", F.size("embedding").alias("dim"), "embedding", *digest)
-    most = nearest + 1  # the query's own row is among them
+    asking = keyed.where(F.pmod("vec_id", F.lit(every)) == 0)
+    asked = stage.put(
+        asking.groupBy("vec_id").agg(F.min(F.struct("embedding", "d1", "d2")).alias("q"), F.count(F.lit(1)).alias("rows")).select(
+            "vec_id", "rows", "q.d1", "q.d2", "q.embedding"
+        ),
+        "asked",
+    )
+    # The rows of a query's own id, which are not told, are among the nearest: one, if ids do not repeat.
+    most = nearest + (asked.agg(F.max("rows")).first()[0] or 1)
     # Spark takes the smallest ids of a class in each task before it moves rows.
     small = keyed.withColumn("n", F.row_number().over(Window.partitionBy("d1", "d2").orderBy("vec_id"))).where(F.col("n") <= most)
     classes = stage.put(
         small.groupBy("d1", "d2").agg(
-            F.min("vec_id").alias("member"), F.first("dim").alias("dim"), F.first("embedding").alias("embedding"),
+            F.min("vec_id").alias("least"), F.first("d1").alias("member"), F.first("dim").alias("dim"), F.first("embedding").alias("embedding"),
             F.sort_array(F.collect_list("vec_id")).alias("ids"),
         ),
         "classes",
     )
-    asking = keyed.where(F.pmod("vec_id", F.lit(every)) == 0)
-    asked = stage.put(
-        asking.groupBy("vec_id").agg(F.min(F.struct("embedding", "d1", "d2")).alias("q")).select(
-            "vec_id", "q.d1", "q.d2", "q.embedding"
-        ),
-        "asked",
-    )
     queries = stage.put(
         asked.groupBy("d1", "d2").agg(F.min("vec_id").alias("query"), F.first("embedding").alias("embedding")).select(
             "query", "d1", "d2", F.size("embedding").alias("dim"), "embedding"
@@ -323,7 +326,7 @@ def nearest_vectors(vectors: DataFrame, every: int = EVERY, nearest: int = NEARE
     kinds = {f.name: f.dataType.simpleString() for f in classes.schema}
     place = f"dim int, embedding {kinds['embedding']}, list int, rank int"
     listed = stage.put(
-        classes.select("member", "dim", "embedding").mapInArrow(_assigned(indexes, False), f"member long, {place}").drop("rank"), "listed"
+        classes.select(*CLASS, "dim", "embedding").mapInArrow(_assigned(indexes, False), f"least long, member long, {place}").drop("rank"), "listed"
     )
     probed = stage.put(
         queries.select("query", "dim", "embedding").mapInArrow(_assigned(indexes, True), f"query long, {place}"), "probed"
@@ -337,7 +340,7 @@ def nearest_vectors(vectors: DataFrame, every: int = EVERY, nearest: int = NEARE
     others = others.select(*columns, F.coalesce("bound", F.lit(float("-inf"))).alias("bound"))
     found = stage.put(home.unionByName(_scanned(others, listed, indexes, most)), "found")
 
-    best = _best(found, most).join(classes.select("member", "ids"), "member")
+    best = _best(found, most).join(classes.select(*CLASS, "ids"), [*CLASS])
     answers = best.groupBy("query").agg(F.collect_list(F.struct("score", "ids")).alias("found"))
     rows = F.flatten(F.transform("found", lambda f: F.transform(f["ids"], lambda i: F.struct((-f["score"]).alias("s"), i.alias("i")))))
     answers = stage.put(answers.select("query", F.slice(F.array_sort(rows), 1, most).alias("rows")), "answers")
