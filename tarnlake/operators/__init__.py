@@ -13,9 +13,17 @@ from tarnlake.operators.gold import (
 from tarnlake.operators.preview import preview, top
 from tarnlake.operators.roles import Role, enrich, require_unique
 from tarnlake.operators.skew import HotKeys, find_hot_keys, join_counted, salted_join
-from tarnlake.operators.tables import create_gold, write_dim
+from tarnlake.operators.tables import create_gold, stage_dim, write_dim
+from tarnlake.operators.versions import at_least, keeps_columns, not_shrunk, publish_all, roll_back, unique_key
 
 __all__ = [
+    "at_least",
+    "keeps_columns",
+    "not_shrunk",
+    "publish_all",
+    "roll_back",
+    "stage_dim",
+    "unique_key",
     "HotKeys",
     "Role",
     "audit_database",

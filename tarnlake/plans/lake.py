@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass
 from uuid import uuid4
 
@@ -17,9 +17,10 @@ from tarnlake.operators.gold import (
     quarter_quantities_by_product,
     quarter_quantities_by_product_key,
 )
-from tarnlake.operators.roles import enrich, require_unique
+from tarnlake.operators.roles import enrich
 from tarnlake.operators.skew import HotKeys
-from tarnlake.operators.tables import create_gold, quoted, write_dim
+from tarnlake.operators.tables import create_gold, quoted, stage_dim
+from tarnlake.operators.versions import Check, Version, publish_all, roll_back, unique_key
 from tarnlake.plans.star import (
     DIMENSION_KEYS,
     GOLD_MONTHLY_ORDERS,
@@ -31,10 +32,32 @@ from tarnlake.plans.star import (
     PURCHASE_ORDERS,
     Feed,
 )
-from tarnlake.plans.workspace import remove, stored
+from tarnlake.plans.workspace import exists, remove, stored
 from tarnlake.sources import infer_schema_once
-from tarnlake.streaming import append_stream, complete_stream, stream_json, stream_table
-from tarnlake.streaming.ingest import FILES_PER_BATCH
+from tarnlake.sources.schema_log import SchemaLog, as_one, filled_back
+from tarnlake.streaming import (
+    Ledger,
+    append_once,
+    append_stream,
+    complete_stream,
+    dead_letters,
+    replay_as_csv,
+    stream_json,
+    stream_table,
+)
+from tarnlake.streaming.ingest import FILES_PER_BATCH, RESCUED_COLUMN
+
+
+def _named(name: str, check: Check) -> Check:
+    """``check``, saying which dimension it refuses."""
+
+    def named(staged: DataFrame, current: DataFrame | None) -> None:
+        try:
+            check(staged, current)
+        except ValueError as error:
+            raise ValueError(f"{name} is refused: {error}") from error
+
+    return named
 
 
 @dataclass(frozen=True)
@@ -89,17 +112,39 @@ class Lake:
         """Name of a temp view of this lake."""
         return f"{self.database}_{name}"
 
-    def load_dims(self, dims: Mapping[str, DataFrame], unique: bool = True) -> dict[str, DataFrame]:
-        """Replace the given dimension tables in full; their keys must be unique, unless told not to check."""
-        loaded = {
-            name: write_dim(
-                df, self.qualified(name), self.fmt, f"{self.root}/dimensions/{name}", f"Dimension {name}"
-            )
-            for name, df in dims.items()
-        }
-        if unique:
-            require_unique(loaded, DIMENSION_KEYS)
-        return loaded
+    def load_dims(
+        self, dims: Mapping[str, DataFrame], unique: bool = True, checks: Mapping[str, Sequence[Check]] | None = None
+    ) -> dict[str, DataFrame]:
+        """Replace the given dimension tables in full, all of them or none.
+
+        Every dimension is written beside the rows in use and checked there: its key must be
+        unique, unless told not to check, and ``checks`` must pass. Only then are the
+        tables pointed at the new rows; what broke off or was refused changes nothing.
+        """
+        staged: list[Version] = []
+        try:
+            for name, df in dims.items():
+                staged.append(stage_dim(df, self.qualified(name), self.fmt, self._dim_folder(name)))
+        except BaseException:
+            for version in staged:
+                version.discard()
+            raise
+        loads = [
+            (version, [*([_named(name, unique_key(DIMENSION_KEYS[name]))] if unique else []), *(checks or {}).get(name, ())])
+            for name, version in zip(dims, staged, strict=True)
+        ]
+        return dict(zip(dims, publish_all(loads, [f"Dimension {name}" for name in dims]), strict=True))
+
+    def roll_back_dim(self, name: str) -> DataFrame:
+        """The dimension as it was before its last load."""
+        return roll_back(self.spark, self.qualified(name), self._dim_folder(name), self.fmt)
+
+    def roll_back_gold(self, table: str) -> DataFrame:
+        """A gold table as it was before its last build; not for one kept up by a stream."""
+        return roll_back(self.spark, self.qualified(table), f"{self.root}/gold/{table}", self.fmt)
+
+    def _dim_folder(self, name: str) -> str:
+        return f"{self.root}/dimensions/{name}"
 
     def bronze(
         self,
@@ -107,10 +152,14 @@ class Lake:
         landing: str,
         multi_line: bool = True,
         schema: str | StructType | None = None,
+        once: bool = False,
         **options: str,
     ) -> DataFrame:
         """Append newly landed records, unfiltered, with their lineage.
 
+        With ``once`` a ledger beside the table keeps a file from being added twice even if
+        the checkpoint is lost. A table is filled with it always or never.
+
         Fields that the schema lacks and values that do not fit it are kept in
         ``_rescued``. ``schema`` is the feed's own unless given; ``inferred`` gives one.
         """
@@ -118,12 +167,86 @@ class Lake:
             self.spark, landing, schema or feed.schema, multi_line, self.max_files,
             view=self.view(f"{feed.name}_raw"), rescue=True, **options,
         )
-        return append_stream(
-            with_lineage(raw),
-            self.qualified(feed.bronze_table),
-            fmt=self.fmt,
-            **self._stream_folders(feed, "bronze"),
+        rows, table, folders = with_lineage(raw), self.qualified(feed.bronze_table), self._stream_folders(feed, "bronze")
+        if once:
+            return append_once(rows, table, folders["checkpoint"], self.ledger(feed))
+        return append_stream(rows, table, fmt=self.fmt, **folders)
+
+    def ledger(self, feed: Feed) -> Ledger:
+        """The source files that the feed's bronze table holds, if it is filled ``once``."""
+        base = f"{self.root}/{feed.name}/bronze"
+        return Ledger(self.spark, f"{base}/ledger", f"{base}/data", self.fmt)
+
+    def dead_letters(self, feed: Feed) -> DataFrame:
+        """Landed files of a feed, filled ``once``, with records that did not parse, and what was done about them."""
+        return dead_letters(self.table(feed.bronze_table), self.ledger(feed))
+
+    def salvage(self, feed: Feed, schema: str | StructType | None = None, **options: str) -> int:
+        """Append what dead letters hold that are CSV files in truth; returns how many those were.
+
+        A file is replayed once, whenever this is called and whatever stopped an earlier call.
+        """
+        bronze, key = self.table(feed.bronze_table), StructType.fromDDL(feed.schema).names[0]
+        replayed = replay_as_csv(bronze, self.ledger(feed), schema or feed.schema, key, **options)
+        self.spark.catalog.refreshTable(self.qualified(feed.bronze_table))
+        return replayed
+
+    def bronze_following(
+        self, feed: Feed, landing: str, multi_line: bool = True, pinned: Collection[str] | None = None, **options: str
+    ) -> DataFrame:
+        """As ``bronze`` with ``once``, but the schema follows what lands; returns ``followed``.
+
+        The feed's schema is the first version. What a delivery brings beyond the version it is
+        read with is kept in ``_rescued``; after the run it makes the next version, with which
+        the next start reads. Rows of each version lie in a folder of their own, so none is
+        written again. Keys of roles and of the feed keep their types, unless ``pinned``
+        names others: their misfits stay in ``_rescued``.
+        """
+        log = self.schema_log(feed)
+        if log.latest() is None:
+            log.append(StructType.fromDDL(feed.schema))
+        number, schema = log.latest()
+        if pinned is None:
+            pinned = {StructType.fromDDL(feed.schema).names[0], *(role.fact_key for role in feed.roles)}
+        raw = stream_json(
+            self.spark, landing, schema, multi_line, self.max_files,
+            view=self.view(f"{feed.name}_raw"), rescue=True, **options,
         )
+        ledger = self._ledger_of(feed, number)
+        table = self.qualified(f"{feed.bronze_table}_v{number}")
+        append_once(with_lineage(raw), table, f"{self._followed_folder(feed)}/checkpoint", ledger)
+        last = ledger.last()
+        log.follow(schema, ledger.committed_after(log.seen()), RESCUED_COLUMN, pinned)
+        log.see(last)
+        return self.followed(feed)
+
+    def followed(self, feed: Feed) -> DataFrame:
+        """Rows of all versions with the latest schema, filled back out of what was kept beside them.
+
+        Also the view ``<feed>_followed``. Only rows of earlier versions pay for it.
+        """
+        versions = self.schema_log(feed).versions()
+        latest = versions[max(versions)]
+        parts = []
+        for number in versions:
+            ledger = self._ledger_of(feed, number)
+            if exists(self.spark, ledger.data):
+                rows = self.spark.read.format(self.fmt).load(ledger.data)
+                parts.append(filled_back(rows, latest, RESCUED_COLUMN))
+        rows = as_one(parts)
+        rows.createOrReplaceTempView(self.view(f"{feed.name}_followed"))
+        return rows
+
+    def schema_log(self, feed: Feed) -> SchemaLog:
+        return SchemaLog(self.spark, f"{self._followed_folder(feed)}/schemas")
+
+    def _followed_folder(self, feed: Feed) -> str:
+        return f"{self.root}/{feed.name}/followed"
+
+    def _ledger_of(self, feed: Feed, version: int) -> Ledger:
+        # One ledger for all versions, so that a file counts once, whatever it was read with.
+        base = self._followed_folder(feed)
+        return Ledger(self.spark, f"{base}/ledger", f"{base}/data/version-{version:09d}", self.fmt)
 
     def inferred(self, feed: Feed, landing: str, multi_line: bool = True, **options: str) -> StructType:
         """The schema of what first landed, with the feed's own types where it names a field."""
@@ -157,12 +280,12 @@ class Lake:
             **self._stream_folders(feed, "silver"),
         )
 
-    def gold_monthly_orders(self, by_year: bool = False, **layout: Sequence[str]) -> DataFrame:
+    def gold_monthly_orders(self, by_year: bool = False, **layout: Sequence) -> DataFrame:
         """Order lines counted per customer and month name."""
         silver = self.table(ORDERS.silver_table)
         return self._gold(monthly_product_count(silver, by_year), GOLD_MONTHLY_ORDERS, **layout)
 
-    def gold_product_orders(self, share: float = 1e-5, **layout: Sequence[str]) -> DataFrame:
+    def gold_product_orders(self, share: float = 1e-5, **layout: Sequence) -> DataFrame:
         """Order lines, each with the line count of its customer."""
         counts = f"{self.root}/gold/{GOLD_PRODUCT_ORDERS}-counts-{uuid4().hex[:12]}"
         totals = customer_line_totals(
@@ -172,7 +295,7 @@ class Lake:
         remove(self.spark, counts)
         return gold
 
-    def gold_purchases(self, **layout: Sequence[str]) -> DataFrame:
+    def gold_purchases(self, **layout: Sequence) -> DataFrame:
         """Purchase value per supplier and product at current names and prices."""
         silver = self.table(PURCHASE_ORDERS.silver_table)
         return self._gold(purchase_value(silver, self.dims()), GOLD_PURCHASE_VALUE, **layout)
@@ -204,5 +327,5 @@ class Lake:
             fmt=self.fmt,
         )
 
-    def _gold(self, df: DataFrame, table: str, **layout: Sequence[str]) -> DataFrame:
+    def _gold(self, df: DataFrame, table: str, **layout: Sequence) -> DataFrame:
         return create_gold(df, self.qualified(table), self.fmt, f"{self.root}/gold/{table}", **layout)

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarnlake.plans.workspace import remove
+
 # Microseconds survive the round trip only with an explicit format, on both sides.
 JSON_TIMESTAMPS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
@@ -14,6 +18,21 @@ def land_lines(df: DataFrame, landing: str) -> None:
     df.write.options(**JSON_TIMESTAMPS).mode("append").json(landing)
 
 
+def land_csv_lines(df: DataFrame, landing: str) -> None:
+    """Append CSV files with a header under names that end as those of the JSON files do."""
+    spark = df.sparkSession
+    written = f"{landing}-csv-{uuid4().hex[:8]}"
+    df.write.options(header=True, escape='"').csv(written)
+    paths = spark._jvm.org.apache.hadoop.fs.Path
+    system = paths(landing).getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(paths(landing))
+    for status in system.listStatus(paths(written)):
+        name = status.getPath().getName()
+        if name.startswith("part-"):
+            system.rename(status.getPath(), paths(f"{landing}/{name.removesuffix('.csv')}.json"))
+    remove(spark, written)
+
+
 def land_arrays(df: DataFrame, landing: str, per_file: int = 5_000) -> None:
     """Append files of one JSON array each, of at most ``per_file`` records.
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from contextlib import suppress
-from uuid import uuid4
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -13,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tarnlake.functions import LINEAGE_COLUMNS, with_lineage
 from tarnlake.operators import (
+    at_least,
     audit_database,
     audit_lake,
     create_gold,
@@ -20,8 +20,10 @@ from tarnlake.operators import (
     customer_line_totals_by_key,
     enrich,
     find_hot_keys,
+    keeps_columns,
     monthly_product_count,
     monthly_product_count_by_key,
+    not_shrunk,
     preview,
     purchase_value,
     purchase_value_as_loaded,
@@ -31,10 +33,10 @@ from tarnlake.operators import (
     top,
 )
 from tarnlake.plans.lake import Lake
-from tarnlake.plans.landing import JSON_TIMESTAMPS, land_arrays, land_lines
+from tarnlake.plans.landing import JSON_TIMESTAMPS, land_arrays, land_csv_lines, land_lines
 from tarnlake.plans.sample_star import SampleStar
 from tarnlake.plans.star import DIMENSION_KEYS, INVENTORY_TRANSACTIONS, ORDERS, PURCHASE_ORDERS, Feed
-from tarnlake.plans.workspace import run_folder, stored
+from tarnlake.plans.workspace import remove, run_folder, stored
 from tarnlake.sources import infer_schema_once, read_csv_dim, read_documents, scan_documents
 from tarnlake.streaming import append_stream, complete_stream, stream_json
 
@@ -307,14 +309,34 @@ def bronze_inferred_feed(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def view_scan(spark: SparkSession, folder: str) -> DataFrame:
-    """SQL over a named view of a silver stream's static twin."""
-    star = SampleStar(spark, folder)
-    view = f"lines_{uuid4().hex[:12]}"
-    star.inventory_transaction_facts().createOrReplaceTempView(view)
-    return spark.sql(
+    """SQL over the view that a lake gives its silver stream, run as a stream."""
+    lake = _inventory_lake(spark, folder, "views")
+    lake.enriched(INVENTORY_TRANSACTIONS)
+    counted = spark.sql(
         f"SELECT inventory_transaction_type, count(*) AS line_count, sum(quantity) AS total_quantity "
-        f"FROM {view} GROUP BY inventory_transaction_type"
+        f"FROM {lake.view(f'{INVENTORY_TRANSACTIONS.silver_table}_stream')} GROUP BY inventory_transaction_type"
+    )
+    return complete_stream(
+        counted, lake.qualified("line_counts"), f"{lake.root}/views/checkpoint", f"{lake.root}/views/data"
+    )
+
+
+def bronze_followed(spark: SparkSession, folder: str) -> DataFrame:
+    """Three deliveries: plain, with a field more, with that field as a fraction and another one."""
+    facts = SampleStar(spark, folder).inventory_transaction_facts()
+    lake = _lake(spark, "followed")
+    landing, third = f"{lake.root}/landing", F.col("quantity") % 3
+    deliveries = (
+        facts.where(third == 0),
+        facts.where(third == 1).withColumn("weight", F.col("quantity")),
+        facts.where(third == 2).withColumns({"weight": F.col("quantity") + 0.5, "coupon": F.concat(F.lit("C"), "product_key")}),
     )
+    for delivery in deliveries:
+        land_lines(delivery, landing)
+        lake.bronze_following(INVENTORY_TRANSACTIONS, landing, multi_line=False)
+    view = lake.view(f"{INVENTORY_TRANSACTIONS.name}_followed")
+    rows = spark.sql(f"SELECT *, _rescued IS NOT NULL AS beside FROM {view}")
+    return _without_lineage(rows)
 
 
 def _events_bronze(
@@ -375,9 +397,89 @@ def bronze_inferred(spark: SparkSession, folder: str) -> DataFrame:
     return _without_lineage(bronze)
 
 
+def bronze_refilled(spark: SparkSession, folder: str) -> DataFrame:
+    """Two deliveries, with the checkpoint lost between them: the ledger knows the first."""
+    facts = SampleStar(spark, folder).inventory_transaction_facts()
+    lake = _lake(spark, "refilled")
+    landing, first = f"{lake.root}/landing", F.col("inventory_transaction_type") == "R"
+    land_lines(facts.where(first), landing)
+    lake.bronze(INVENTORY_TRANSACTIONS, landing, multi_line=False, once=True)
+    remove(spark, f"{lake.root}/{INVENTORY_TRANSACTIONS.name}/bronze/checkpoint")
+    land_lines(facts.where(~first), landing)
+    return _without_lineage(lake.bronze(INVENTORY_TRANSACTIONS, landing, multi_line=False, once=True))
+
+
+def bronze_salvaged(spark: SparkSession, folder: str) -> DataFrame:
+    """A feed some of whose files are CSV under a name of the others, replayed with their lineage."""
+    facts = SampleStar(spark, folder).inventory_transaction_facts()
+    lake = _lake(spark, "salvaged")
+    landing, odd = f"{lake.root}/landing", F.col("inventory_transaction_type") == "R"
+    land_lines(facts.where(~odd), landing)
+    land_csv_lines(facts.where(odd), landing)
+    lake.bronze(INVENTORY_TRANSACTIONS, landing, multi_line=False, once=True)
+    lake.salvage(INVENTORY_TRANSACTIONS)
+    lake.salvage(INVENTORY_TRANSACTIONS)  # finds nothing more to do
+    bronze = lake.table(INVENTORY_TRANSACTIONS.bronze_table).where("fact_inventory_transaction_key IS NOT NULL")
+    return _without_lineage(bronze.withColumn("lineage", F.col("source_file").endswith(".json")))
+
+
 # Dimensions
 
 
+def _refused(load: Callable[[], object]) -> int:
+    """1 if a load fails, as it should."""
+    try:
+        load()
+    except (ValueError, PySparkException, Py4JJavaError):
+        return 1
+    return 0
+
+
+def dims_guarded(spark: SparkSession, folder: str) -> DataFrame:
+    """Dimensions after a good load and three that must change nothing.
+
+    One breaks off while it is read, one holds a key twice, one holds but a few rows; each
+    comes with another dimension that is sound, and must not be replaced either.
+    """
+    star = SampleStar(spark, folder)
+    lake = _lake(spark, "guarded")
+    good = star.dims_of("dim_customer", "dim_product")
+    lake.load_dims(good)
+    customers, products = good["dim_customer"], good["dim_product"].limit(1)
+    breaks = customers.withColumn("first_name", F.when(F.col("customer_key") > 0, F.raise_error(F.lit("source lost"))))
+    few = {"dim_customer": [not_shrunk(0.5)]}
+    refused = (
+        _refused(lambda: lake.load_dims({"dim_product": products, "dim_customer": breaks}))
+        + _refused(lambda: lake.load_dims({"dim_product": products, "dim_customer": customers.unionByName(customers)}))
+        + _refused(lambda: lake.load_dims({"dim_product": products, "dim_customer": customers.limit(1)}, checks=few))
+    )
+    kept = [
+        lake.table(name).select(F.lit(name).alias("dim"), F.col(key).alias("key"), F.col(value).alias("value"))
+        for name, key, value in (("dim_customer", "customer_key", "last_name"), ("dim_product", "product_key", "product_name"))
+    ]
+    return kept[0].unionByName(kept[1]).withColumn("refused", F.lit(refused))
+
+
+def dim_rolled_back(spark: SparkSession, folder: str) -> DataFrame:
+    """A dimension loaded twice, with other columns the second time, then taken back; both as read."""
+    customers = SampleStar(spark, folder).dim_customer
+    lake = _lake(spark, "rolled-back")
+    lake.load_dims({"dim_customer": customers})
+    second = lake.load_dims({"dim_customer": customers.where("customer_key % 2 = 0").withColumn("rank", F.lit(1))})["dim_customer"]
+    second = second.select(F.lit("second").alias("state"), "customer_key", "last_name")
+    back = lake.roll_back_dim("dim_customer")
+    return second.unionByName(back.select(F.lit("back").alias("state"), "customer_key", "last_name"))
+
+
+def gold_guarded(spark: SparkSession, folder: str) -> DataFrame:
+    """A gold table that a build from nothing must not replace."""
+    lake = _lake(spark, "gold-guarded")
+    name, monthly = lake.qualified("monthly_orders"), monthly_orders_by_customer(spark, folder)
+    create_gold(monthly, name)
+    refused = _refused(lambda: create_gold(monthly.where(F.lit(False)), name, checks=[at_least(1), keeps_columns]))
+    return spark.table(name).withColumn("refused", F.lit(refused))
+
+
 def dim_date(spark: SparkSession, folder: str) -> DataFrame:
     return SampleStar(spark, folder).dim_date
 
@@ -504,6 +606,12 @@ QUERIES: dict[str, Query] = {
     "bronze_event_arrays": bronze_event_arrays,
     "bronze_restart": bronze_restart,
     "bronze_inferred": bronze_inferred,
+    "bronze_followed": bronze_followed,
+    "bronze_refilled": bronze_refilled,
+    "bronze_salvaged": bronze_salvaged,
+    "dims_guarded": dims_guarded,
+    "dim_rolled_back": dim_rolled_back,
+    "gold_guarded": gold_guarded,
     "dim_date": dim_date,
     "audit_tables": audit_tables,
     "audit_orders": audit_orders,

@@ -22,6 +22,12 @@ def run_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/tarnlake-{purpose}-{uuid4().hex[:12]}"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on whatever file system it would be."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder on whatever file system it is, if it is there."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)

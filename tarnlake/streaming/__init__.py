@@ -1,10 +1,16 @@
 from tarnlake.streaming.ingest import CORRUPT_COLUMN, stream_json, stream_table
+from tarnlake.streaming.ledger import Ledger, append_once
+from tarnlake.streaming.salvage import dead_letters, replay_as_csv
 from tarnlake.streaming.sinks import append_stream, complete_stream
 
 __all__ = [
     "CORRUPT_COLUMN",
+    "Ledger",
+    "append_once",
     "append_stream",
     "complete_stream",
+    "dead_letters",
+    "replay_as_csv",
     "stream_json",
     "stream_table",
 ]

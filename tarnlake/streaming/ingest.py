@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader
-from pyspark.sql.types import StringType, StructField, StructType, VariantType
+from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType, VariantType
+
+from tarnlake.functions.variants import fitting
 
 CORRUPT_COLUMN = "_corrupt_record"
 RESCUED_COLUMN = "_rescued"
@@ -49,7 +51,9 @@ def stream_json(
     if keep_corrupt and CORRUPT_COLUMN not in schema.names:
         schema = StructType([*schema.fields]).add(CORRUPT_COLUMN, StringType())
     reader = _bounded(spark.readStream, max_files).options(multiLine=multi_line, **options)
-    if rescue:
+    if rescue and not multi_line and options.get("mode", _PERMISSIVE).upper() == _PERMISSIVE:
+        df = _rescued_lines(_bounded(spark.readStream, max_files).options(**options), landing, schema, keep_corrupt, options)
+    elif rescue:
         df = _rescued(reader, landing, schema, keep_corrupt)
     else:
         df = reader.schema(schema).json(landing)
@@ -58,34 +62,77 @@ def stream_json(
     return df
 
 
+#: What the reader does with bad records where ``from_json`` does the same.
+_PERMISSIVE = "PERMISSIVE"
+
+
 def _rescued(
     reader: DataStreamReader, landing: str, schema: StructType, keep_corrupt: bool
 ) -> DataFrame:
-    """Whole records as variants, cut into the fields of the schema and what is left."""
-    fields = [field for field in schema if field.name != CORRUPT_COLUMN]
+    """Files of JSON arrays: whole records as variants, cut into the fields of the schema and what is left."""
     whole = StructType([StructField("__file", VariantType()), StructField(CORRUPT_COLUMN, StringType())])
     read = reader.schema(whole).option("singleVariantColumn", "__file").json(landing)
     array = F.try_variant_get("__file", "$", "array<variant>")
     records = read.select(
         F.explode_outer(F.coalesce(array, F.array("__file"))).alias("__record"), CORRUPT_COLUMN
     ).where(F.col("__record").isNotNull() | F.col(CORRUPT_COLUMN).isNotNull())
-    values = {
-        field.name: F.try_variant_get("__record", f"$['{field.name}']", field.dataType.simpleString())
-        for field in fields
-    }
-    kept = records.select("__record", CORRUPT_COLUMN, *[value.alias(name) for name, value in values.items()])
-    fitting = F.array_compact(
-        F.array(*[F.when(F.col(name).isNotNull(), F.lit(name)) for name in values])
+    return _cut(records, schema, keep_corrupt)
+
+
+def _rescued_lines(
+    reader: DataStreamReader, landing: str, schema: StructType, keep_corrupt: bool, options: dict[str, str]
+) -> DataFrame:
+    """Line-delimited records: parsed once by the schema, and as variants only where that does not hold all of them.
+
+    That is where a value does not fit, a field is unknown, or a line is no JSON object.
+    """
+    fields = [field for field in schema if field.name != CORRUPT_COLUMN]
+    wanted = StructType([*fields, StructField(CORRUPT_COLUMN, StringType())])
+    how = {**options, "columnNameOfCorruptRecord": CORRUPT_COLUMN}
+    lines = reader.text(landing).where(F.length(F.trim("value")) > 0)
+    parsed = lines.select("value", F.from_json("value", wanted, how).alias("__parsed"))
+    known = F.array(*[F.lit(field.name) for field in fields]) if fields else F.array().cast("array<string>")
+    all_known = F.size(F.array_except(F.json_object_keys("value"), known)) == 0
+    fits = all_known & F.col(f"__parsed.{CORRUPT_COLUMN}").isNull()
+    for field in fields:
+        if isinstance(field.dataType, (ArrayType, MapType, StructType)):
+            # The parser drops unknown members of records within records and does not say so.
+            fits = fits & F.col("__parsed").getField(field.name).isNull()
+    fits = F.coalesce(fits, F.lit(False))
+    judged = parsed.select("*", F.when(~fits, F.try_parse_json("value")).alias("__line"), fits.alias("__fits"))
+    array = F.try_variant_get("__line", "$", "array<variant>")
+    records = judged.select(
+        "__parsed", "__fits", F.explode_outer(F.coalesce(array, F.array("__line"))).alias("__record"),
+        F.when(~F.col("__fits") & F.col("__line").isNull(), F.col("value")).alias(CORRUPT_COLUMN),
+    ).where(F.col("__fits") | F.col("__record").isNotNull() | F.col(CORRUPT_COLUMN).isNotNull())
+    return _cut(records, schema, keep_corrupt)
+
+
+def _cut(records: DataFrame, schema: StructType, keep_corrupt: bool) -> DataFrame:
+    """The fields of the schema and what is left, of records as variants or (``__fits``) as parsed."""
+    fields = [field for field in schema if field.name != CORRUPT_COLUMN]
+    parsed = "__fits" in records.columns
+    values = {field.name: fitting(F.col("__record"), field.name, field.dataType) for field in fields}
+    if parsed:
+        values = {
+            name: F.when(F.col("__fits"), F.col("__parsed").getField(name)).otherwise(value) for name, value in values.items()
+        }
+    beside = [name for name in ("__fits", "__record", CORRUPT_COLUMN) if name in records.columns]
+    kept = records.select(*beside, *[value.alias(name) for name, value in values.items()])
+    taken = F.array_compact(
+        F.array(*[F.when(F.col(f"`{name}`").isNotNull(), F.lit(name)) for name in values])
     )
     members = F.try_variant_get("__record", "$", "map<string,variant>")
 
     def unknown(name: Column, value: Column) -> Column:
-        return ~F.array_contains(fitting, name) & ~F.is_variant_null(value)
+        return ~F.array_contains(taken, name) & ~F.is_variant_null(value)
 
     rest = F.map_filter(members, unknown)
     rescued = F.when(members.isNull(), F.to_json("__record")).when(F.size(rest) > 0, F.to_json(rest))
+    if parsed:
+        rescued = F.when(~F.col("__fits"), rescued)
     corrupt = [CORRUPT_COLUMN] if keep_corrupt or CORRUPT_COLUMN in schema.names else []
-    return kept.select(*values, *corrupt, rescued.alias(RESCUED_COLUMN))
+    return kept.select(*[F.col(f"`{name}`") for name in values], *corrupt, rescued.alias(RESCUED_COLUMN))
 
 
 def stream_table(

@@ -8,11 +8,9 @@ after a failure, or with nothing new, adds no row twice.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from uuid import uuid4
-
 from pyspark.sql import DataFrame, SparkSession
 
-from tarnlake.operators.tables import quoted
+from tarnlake.operators.versions import new_folder, point, versions
 from tarnlake.plans.workspace import remove
 
 
@@ -66,10 +64,10 @@ def complete_stream(
 
     def replace(batch: DataFrame, batch_id: int) -> None:
         result = batch if finish is None else finish(batch)
-        folder = f"{path}/version={batch_id + 1:012d}-{uuid4().hex[:8]}"
+        folder = new_folder(path, batch_id + 1)
         result.write.format(fmt).save(folder)
-        _point(batch.sparkSession, table, folder, fmt)
-        for old in _versions(batch.sparkSession, path)[:-2]:
+        point(batch.sparkSession, table, folder, fmt)
+        for old in versions(batch.sparkSession, path)[:-2]:
             remove(batch.sparkSession, old)
 
     query = (
@@ -83,31 +81,10 @@ def complete_stream(
     if not spark.catalog.tableExists(table):
         # No micro-batch ran in this session: either an earlier session filled the
         # table and its catalog is gone, or nothing has arrived yet.
-        versions = _versions(spark, path)
-        if versions:
-            _point(spark, table, versions[-1], fmt)
+        written = versions(spark, path)
+        if written:
+            point(spark, table, written[-1], fmt)
         else:
             replace(spark.createDataFrame([], df.schema), -1)
     spark.catalog.refreshTable(table)
     return spark.table(table)
-
-
-def _point(spark: SparkSession, table: str, folder: str, fmt: str) -> None:
-    """Let ``table`` read ``folder``."""
-    if spark.catalog.tableExists(table):
-        spark.sql(f"ALTER TABLE {table} SET LOCATION {quoted(folder)}")
-        spark.catalog.refreshTable(table)
-    else:
-        spark.catalog.createTable(table, path=folder, source=fmt)
-
-
-def _versions(spark: SparkSession, path: str) -> list[str]:
-    """Folders of whole results under ``path``, oldest first; unfinished ones do not count."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    place = hadoop.Path(path)
-    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not system.exists(place):
-        return []
-    folders = [status.getPath() for status in system.listStatus(place) if status.isDirectory()]
-    whole = [f for f in folders if system.exists(hadoop.Path(f, "_SUCCESS")) or system.exists(hadoop.Path(f, "_delta_log"))]
-    return sorted(f.toString() for f in whole)

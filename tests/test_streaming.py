@@ -306,6 +306,35 @@ def test_unknown_fields_and_misfits_are_rescued(spark, tmp_path):
     }
 
 
+def test_lines_that_fit_are_parsed_once_and_no_other_way(spark, tmp_path):
+    """Fractions for whole numbers, digits as text, numbers as text, arrays, blank lines, a duplicate name."""
+    landing = tmp_path / "in"
+    landing.mkdir()
+    lines = [
+        '{"k": 1, "v": "x", "d": 0.5}', '{"k": 2.5, "v": "y"}', '{"k": "3", "v": 7, "d": 1}', '[{"k": 4}, {"k": 5, "w": 1}]', "",
+        '{"k": 6, "v": {"a": 1}}', "[]", "null", '{"k": null, "d": null}', "{}", '{"k": 9000000000000000000}', "1,2,3", '{"k": 10, "d": "z"}',
+    ]
+    (landing / "a.json").write_text("\n".join(lines) + "\n")
+    raw = stream_json(spark, str(landing), "k BIGINT, v STRING, d DOUBLE", multi_line=False, rescue=True)
+    table = append_stream(with_lineage(raw), f"once_{tmp_path.name}", str(tmp_path / "c"), str(tmp_path / "d"))
+    assert table.where("source_file = ''").count() == 0
+    found = bag((r.k, r.v, r.d, r._corrupt_record, r._rescued) for r in table.collect())
+    assert found == bag([
+        (1, "x", 0.5, None, None),
+        (None, "y", None, None, '{"k":2.5}'),
+        (3, "7", 1.0, None, None),
+        (4, None, None, None, None),
+        (5, None, None, None, '{"w":1}'),
+        (6, '{"a":1}', None, None, None),
+        (None, None, None, None, "null"),
+        (None, None, None, None, None),
+        (None, None, None, None, None),
+        (9000000000000000000, None, None, None, None),
+        (None, None, None, "1,2,3", None),
+        (10, None, None, None, '{"d":"z"}'),
+    ])
+
+
 def test_arrays_are_rescued_record_by_record(spark, tmp_path):
     landing = tmp_path / "in"
     land_array(landing, "a.json", [{"k": 1}, {"k": 2, "more": {"a": [1]}}])
