@@ -18,6 +18,7 @@ from tarnlake.operators.gold import (
     quarter_quantities_by_product_key,
 )
 from tarnlake.operators.roles import enrich
+from tarnlake.operators.sketches import Profile, audit_commits, measure_quantiles
 from tarnlake.operators.skew import HotKeys
 from tarnlake.operators.tables import create_gold, quoted, stage_dim
 from tarnlake.operators.versions import Check, Version, publish_all, roll_back, unique_key
@@ -44,8 +45,10 @@ from tarnlake.streaming import (
     replay_as_csv,
     stream_json,
     stream_table,
+    update_stream,
 )
 from tarnlake.streaming.ingest import FILES_PER_BATCH, RESCUED_COLUMN
+from tarnlake.streaming.segments import COMPACT_AFTER
 
 
 def _named(name: str, check: Check) -> Check:
@@ -175,7 +178,16 @@ class Lake:
     def ledger(self, feed: Feed) -> Ledger:
         """The source files that the feed's bronze table holds, if it is filled ``once``."""
         base = f"{self.root}/{feed.name}/bronze"
-        return Ledger(self.spark, f"{base}/ledger", f"{base}/data", self.fmt)
+        profile = Profile(StructType.fromDDL(feed.schema).names[0], feed.measures)
+        return Ledger(self.spark, f"{base}/ledger", f"{base}/data", self.fmt, profile)
+
+    def audit_once(self, feed: Feed, exact: bool = True) -> DataFrame:
+        """The audit of a bronze table filled ``once``: from its commits' notes, not its rows."""
+        return audit_commits(self.ledger(feed), feed.bronze_table, exact)
+
+    def quantiles(self, feed: Feed, fractions: Sequence[float]) -> DataFrame:
+        """Quantiles of the measures of a bronze table filled ``once``, from its commits' notes."""
+        return measure_quantiles(self.ledger(feed), fractions)
 
     def dead_letters(self, feed: Feed) -> DataFrame:
         """Landed files of a feed, filled ``once``, with records that did not parse, and what was done about them."""
@@ -327,5 +339,18 @@ class Lake:
             fmt=self.fmt,
         )
 
+    def gold_inventory_changes(self, compact_after: int = COMPACT_AFTER) -> DataFrame:
+        """As ``gold_inventory``, but each run writes the groups that changed and readers merge them.
+
+        Products are met by the merged groups when the result is read, at their current names.
+        """
+        base = f"{self.root}/{INVENTORY_TRANSACTIONS.name}/gold-changes"
+        keyed = self.quantities_by_key()
+        keys = [name for name in keyed.columns if name != "quantity"]
+        merged = update_stream(
+            keyed, f"{base}/data", f"{base}/checkpoint", keys, self.fmt, compact_after, self.view(GOLD_QUARTER_QUANTITIES)
+        )
+        return quarter_quantities_by_product(merged, self.dims(), "inner")
+
     def _gold(self, df: DataFrame, table: str, **layout: Sequence) -> DataFrame:
         return create_gold(df, self.qualified(table), self.fmt, f"{self.root}/gold/{table}", **layout)

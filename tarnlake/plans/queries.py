@@ -32,6 +32,7 @@ from tarnlake.operators import (
     replace_collections,
     top,
 )
+from tarnlake.operators.sketches import RANK_ERROR, RELATIVE_ERROR
 from tarnlake.plans.lake import Lake
 from tarnlake.plans.landing import JSON_TIMESTAMPS, land_arrays, land_csv_lines, land_lines
 from tarnlake.plans.sample_star import SampleStar
@@ -245,6 +246,19 @@ def quantity_by_quarter_type_product(spark: SparkSession, folder: str) -> DataFr
     return _inventory_lake(spark, folder, "inventory-gold").gold_inventory()
 
 
+def quantity_by_quarter_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """Three deliveries, each of which writes the groups it changed; merged twice on the way."""
+    star = SampleStar(spark, folder)
+    lake = _lake(spark, "inventory-changes")
+    lake.load_dims({"dim_product": star.dim_product, "dim_date": star.dim_date})
+    facts = star.inventory_transaction_facts()
+    for kind in ("R", "A", "N"):
+        land_lines(facts.where(F.col("inventory_transaction_type") == kind), f"{lake.root}/landing")
+        lake.bronze(INVENTORY_TRANSACTIONS, f"{lake.root}/landing", multi_line=False)
+        gold = lake.gold_inventory_changes(compact_after=1)
+    return gold
+
+
 def quantity_by_quarter_sorted(spark: SparkSession, folder: str) -> DataFrame:
     """The streaming aggregate itself, sorted, as a complete-mode result."""
     lake = _inventory_lake(spark, folder, "inventory-sorted")
@@ -502,6 +516,46 @@ def audit_orders(spark: SparkSession, folder: str) -> DataFrame:
     return audit_lake(spark, lake.database, dims, facts).drop("column_types")
 
 
+def audit_once(spark: SparkSession, folder: str) -> DataFrame:
+    """The audit of three deliveries from their notes; the keys of the last two are counted, as they meet."""
+    facts = SampleStar(spark, folder).inventory_transaction_facts()
+    key = "fact_inventory_transaction_key"
+    lake = _lake(spark, "audit-once")
+    landing = f"{lake.root}/landing"
+    middle = facts.agg(F.floor((F.min(key) + F.max(key)) / 2)).first()[0]
+    upper = F.col(key) > middle
+    for delivery in (facts.where(~upper), facts.where(upper), facts.where(upper & (F.col("quantity") == 7))):
+        land_lines(delivery, landing)
+        lake.bronze(INVENTORY_TRANSACTIONS, landing, multi_line=False, once=True)
+    audit = lake.audit_once(INVENTORY_TRANSACTIONS)
+    off = F.abs(F.col("estimated_keys") - F.col("distinct_keys")) / F.col("distinct_keys")
+    return audit.withColumn("estimated_keys", off < 4 * RELATIVE_ERROR)
+
+
+def quantiles_once(spark: SparkSession, folder: str) -> DataFrame:
+    """Quantiles of a measure from merged sketches, with whether their ranks are as close as they should be."""
+    facts = SampleStar(spark, folder).inventory_transaction_facts()
+    lake = _lake(spark, "quantiles")
+    landing, third = f"{lake.root}/landing", F.pmod(F.xxhash64("fact_inventory_transaction_key"), F.lit(3))
+    for part in range(3):
+        land_lines(facts.where(third == part), landing)
+        lake.bronze(INVENTORY_TRANSACTIONS, landing, multi_line=False, once=True)
+    told = lake.quantiles(INVENTORY_TRANSACTIONS, (0.1, 0.5, 0.9))
+    x, error = F.col("quantity"), F.lit(2 * RANK_ERROR)
+    close = [  # one value for each fraction
+        F.struct(
+            F.lit(row["measure"]).alias("measure"),
+            F.lit(row["fraction"]).alias("fraction"),
+            (
+                (F.avg((x < row["value"]).cast("int")) <= F.lit(row["fraction"]) + error)
+                & (F.avg((x <= row["value"]).cast("int")) >= F.lit(row["fraction"]) - error)
+            ).alias("is_close"),
+        )
+        for row in told.collect()
+    ]
+    return facts.agg(F.array(*close).alias("close")).select(F.inline("close"))
+
+
 def topk_preview(spark: SparkSession, folder: str) -> DataFrame:
     return preview(SampleStar(spark, folder).dim_customer, "customer_key")
 
@@ -585,6 +639,7 @@ QUERIES: dict[str, Query] = {
     "top_purchase_values": top_purchase_values,
     "quantity_by_quarter_batch": quantity_by_quarter_batch,
     "quantity_by_quarter_type_product": quantity_by_quarter_type_product,
+    "quantity_by_quarter_changes": quantity_by_quarter_changes,
     "quantity_by_quarter_sorted": quantity_by_quarter_sorted,
     "orders_silver": orders_silver,
     "orders_silver_salted": orders_silver_salted,
@@ -615,6 +670,8 @@ QUERIES: dict[str, Query] = {
     "dim_date": dim_date,
     "audit_tables": audit_tables,
     "audit_orders": audit_orders,
+    "audit_once": audit_once,
+    "quantiles_once": quantiles_once,
     "topk_preview": topk_preview,
     "gold_table": gold_table,
     "csv_dim": csv_dim,

@@ -17,6 +17,7 @@ class Feed:
     schema: str
     roles: tuple[Role, ...]
     silver_columns: tuple[str, ...]
+    measures: tuple[str, ...] = ()
 
     @property
     def bronze_table(self) -> str:
@@ -162,6 +163,7 @@ ORDERS = Feed(
         "order_status",
         "order_details_status",
     ),
+    measures=("quantity", "unit_price"),
 )
 
 _people = (_person("submitted_by"), _person("approved_by"), _person("created_by"))
@@ -187,6 +189,7 @@ PURCHASE_ORDERS = Feed(
         "payment_date",
         *LINEAGE_COLUMNS,
     ),
+    measures=("po_detail_quantity", "po_detail_unit_cost"),
 )
 
 _transaction_dates = (
@@ -203,6 +206,7 @@ INVENTORY_TRANSACTIONS = Feed(
         "inventory_transaction_type",
         "quantity",
     ),
+    measures=("quantity",),
 )
 
 FEEDS = (ORDERS, PURCHASE_ORDERS, INVENTORY_TRANSACTIONS)

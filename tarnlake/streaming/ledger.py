@@ -16,9 +16,10 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tarnlake.operators.sketches import NOTED, Profile
 from tarnlake.plans.workspace import remove
 
 #: Formats whose files are rows by themselves and may be moved into a folder one by one.
@@ -26,6 +27,8 @@ FILE_FORMATS = ("parquet", "orc", "json", "csv")
 #: ``way`` is how a file was read: a file that one reader could not read may be read by another.
 ENTRY = "source_file STRING, length BIGINT, way STRING, commit_no BIGINT"
 FIRST_WAY = "stream"
+#: The column of records that did not parse.
+CORRUPT = "_corrupt_record"
 
 
 def path_of(spark: SparkSession, source_file: str) -> str:
@@ -37,6 +40,7 @@ def path_of(spark: SparkSession, source_file: str) -> str:
 class Ledger:
     """The source files of the table whose files lie in ``data``, in folder ``root``.
 
+    With a ``profile``, each commit notes what an audit of the table needs (``operators.sketches``).
     One writer at a time. ``data`` and ``root`` must be on one file system and must not hold
     each other.
     """
@@ -45,6 +49,7 @@ class Ledger:
     root: str
     data: str
     fmt: str = "parquet"
+    profile: Profile | None = None
 
     def __post_init__(self) -> None:
         if self.fmt not in FILE_FORMATS:
@@ -137,7 +142,7 @@ class Ledger:
         """
         token = uuid4().hex
         staged = f"{self.root}/staged/{token}"
-        df.write.format(self.fmt).save(staged)
+        self._write(df, token)
         written = self.spark.read.schema(df.schema).format(self.fmt).load(staged)
         files = [row[0] for row in written.select(source).where(F.col(source).isNotNull()).distinct().collect()]
         listed = self._with_lengths(files, way)
@@ -148,7 +153,7 @@ class Ledger:
             seen = self.spark.createDataFrame([(file,) for file in old], "__seen STRING")
             fresh = written.join(F.broadcast(seen), F.col(source) == F.col("__seen"), "left_anti")
             again = uuid4().hex
-            fresh.write.format(self.fmt).save(f"{self.root}/staged/{again}")
+            self._write(fresh, again)
             remove(self.spark, staged)
             token = again
         taken = sorted(set(files) - set(old))
@@ -158,6 +163,29 @@ class Ledger:
         self._commit(token, self._with_lengths(taken, way))
         return taken
 
+    def _write(self, df: DataFrame, token: str) -> None:
+        """Write the rows of a commit to come, and note what is observed of them."""
+        staged = f"{self.root}/staged/{token}"
+        if self.profile is None:
+            df.write.format(self.fmt).save(staged)
+            return
+        seen = Observation()
+        df.observe(seen, *self.profile.columns(df.columns, CORRUPT)).write.format(self.fmt).save(staged)
+        written = self.spark.read.schema(df.schema).format(self.fmt).load(staged)
+        distinct = written.agg(F.count_distinct(self.profile.key)).first()[0]
+        row = (token, distinct, *self.profile.note(seen.get))
+        notes = self.spark.createDataFrame([row], f"token STRING, distinct_keys BIGINT, {NOTED}")
+        notes.coalesce(1).write.parquet(f"{self.root}/notes/{token}")
+
+    def notes(self) -> DataFrame:
+        """What each commit noted, one row each, with its number."""
+        schema = f"token STRING, distinct_keys BIGINT, {NOTED}"
+        numbers = self.spark.createDataFrame(list(self._commits().items()), "token STRING, commit_no BIGINT")
+        if not self._listed(f"{self.root}/notes"):
+            return self.spark.createDataFrame([], schema).join(numbers, "token")
+        noted = self.spark.read.schema(schema).option("recursiveFileLookup", True).parquet(f"{self.root}/notes")
+        return noted.join(numbers, "token")  # what was noted for no commit is not there
+
     def note(self, files: Sequence[str], way: str) -> None:
         """Enter files without rows, such as those that ``way`` could not read."""
         if files:

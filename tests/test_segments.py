@@ -1,0 +1,102 @@
+"""Aggregates kept up by the groups that changed."""
+
+from pathlib import Path
+
+import pytest
+from fixtures import TRANSACTIONS, bag, dims, lake, land_array, transaction
+from pyspark.sql import functions as F
+
+from tarnlake.plans.star import INVENTORY_TRANSACTIONS
+from tarnlake.plans.workspace import remove
+from tarnlake.streaming import compact, merged_segments, stream_json, update_stream
+from tarnlake.streaming import segments as s
+
+
+@pytest.fixture
+def run(spark, tmp_path):
+    def go(rows, name, **how):
+        land_array(tmp_path / "in", name, rows)
+        stream = stream_json(spark, str(tmp_path / "in"), "k BIGINT, v BIGINT", max_files=how.pop("max_files", None))
+        totals = stream.groupBy("k").agg(F.sum("v").alias("v"), F.count("v").alias("n"))
+        return update_stream(totals, str(tmp_path / "out"), str(tmp_path / "c"), ["k"], **how)
+
+    return go
+
+
+def segments(tmp_path):
+    return sorted(p.name for p in (tmp_path / "out" / "rows").iterdir())
+
+
+def rows_in(spark, tmp_path, name):
+    return spark.read.parquet(str(tmp_path / "out" / "rows" / name)).count()
+
+
+def test_a_run_writes_the_groups_it_changed(spark, tmp_path, run):
+    run([{"k": k, "v": 1} for k in range(500)], "1.json")
+    rows = run([{"k": 7, "v": 10}, {"k": 900, "v": 1}], "2.json")
+    assert [rows_in(spark, tmp_path, n) for n in segments(tmp_path)] == [500, 2]
+    found = {r.k: (r.v, r.n) for r in rows.collect()}
+    assert len(found) == 501 and found[7] == (11, 2) and found[900] == (1, 1) and found[8] == (1, 1)
+
+
+def test_nothing_new_writes_nothing(tmp_path, run):
+    run([{"k": 1, "v": 1}], "1.json")
+    before = segments(tmp_path)
+    run([], "2.json")
+    assert len(segments(tmp_path)) <= len(before) + 1
+
+
+def test_segments_are_merged_and_give_the_same_rows(spark, tmp_path, run):
+    expected = {}
+    for n in range(7):
+        part = [{"k": k % 5, "v": n} for k in range(n + 2)] + [{"k": None, "v": 1}]
+        for r in part:
+            v, c = expected.get(r["k"], (0, 0))
+            expected[r["k"]] = (v + r["v"], c + 1)
+        rows = run(part, f"{n}.json", compact_after=3)
+        assert {r.k: (r.v, r.n) for r in rows.collect()} == expected
+        assert len(segments(tmp_path)) <= 3
+
+
+def test_a_merge_that_stops_is_made_good(spark, tmp_path, run, monkeypatch):
+    for n in range(3):
+        run([{"k": n, "v": n}, {"k": 0, "v": 1}], f"{n}.json")
+    expected = bag(merged_segments(spark, str(tmp_path / "out"), ["k"]).collect())
+    with monkeypatch.context() as broken:
+        broken.setattr(s, "remove", lambda *a: (_ for _ in ()).throw(OSError("driver lost")))
+        with pytest.raises(OSError, match="driver lost"):
+            compact(spark, str(tmp_path / "out"), ["k"])
+    assert len(segments(tmp_path)) == 4  # the merged one beside the others
+    assert bag(merged_segments(spark, str(tmp_path / "out"), ["k"]).collect()) == expected
+    compact(spark, str(tmp_path / "out"), ["k"])
+    assert len(segments(tmp_path)) == 1
+    assert bag(merged_segments(spark, str(tmp_path / "out"), ["k"]).collect()) == expected
+
+
+def test_a_micro_batch_run_again_adds_nothing(spark, tmp_path, run):
+    run([{"k": 1, "v": 1}], "1.json")
+    (name,) = segments(tmp_path)
+    remove(spark, str(tmp_path / "c" / "commits"))  # as if the run had stopped before it was noted
+    rows = run([{"k": 1, "v": 5}], "2.json")
+    assert bag(rows.collect()) == bag([(1, 6, 2)])
+    assert segments(tmp_path)[0] == name
+
+
+def test_no_row_yet(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    stream = stream_json(spark, str(tmp_path / "in"), "k BIGINT, v BIGINT").groupBy("k").agg(F.sum("v").alias("v"))
+    rows = update_stream(stream, str(tmp_path / "out"), str(tmp_path / "c"), ["k"], view="sums_so_far")
+    assert rows.columns == ["k", "v"] and rows.count() == 0
+    assert spark.sql("SELECT * FROM sums_so_far").count() == 0
+
+
+def test_inventory_gold_by_changes_equals_the_whole_result(spark, tmp_path):
+    lk, landing = lake(spark, tmp_path / "lake"), tmp_path / "in"
+    lk.load_dims(dims(spark))
+    for number, part in enumerate((TRANSACTIONS[:8], TRANSACTIONS[8:], [transaction(3)])):
+        land_array(landing, f"{number}.json", part)
+        lk.bronze(INVENTORY_TRANSACTIONS, str(landing))
+        changes = lk.gold_inventory_changes(compact_after=2)
+        assert bag(changes.collect()) == bag(lk.gold_inventory().collect())
+    folder = Path(lk.root) / INVENTORY_TRANSACTIONS.name / "gold-changes" / "data" / "rows"
+    assert len(list(folder.iterdir())) <= 2
