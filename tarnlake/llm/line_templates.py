@@ -2,9 +2,9 @@
 
 A line goes down a tree of fixed depth: its token count, then its leading tokens, in which a
 token with a digit counts as a variable field. In the leaf the other positions are
-generalised: a token that only one distinct line of the leaf has at its position is a
-variable field there, one that several have is constant. What remains is the line's
-template, if at least ``similar`` of its tokens are constant; else the line is its own.
+generalised: a token is constant at its position if a quarter of the leaf's distinct lines, and
+two of them, have it there; else it is a variable field, whose values may well repeat, the
+more so the more lines there are. What remains is the line's template, if at least ``similar`` of its tokens are constant; else the line is its own.
 A template that occurs in ``min_docs`` documents recurs: every line of it but the first
 (by doc_id, then line number) is dropped.
 
@@ -23,6 +23,9 @@ from tarnlake.llm.staging import Stage, small_or_not
 from tarnlake.llm.winnowing import SPACES
 
 DEPTH = 3
+#: Share of the distinct lines of a leaf that have a constant at its place. A field of fewer than four
+#: values, evenly spread, counts as so many constants: its lines are as many templates.
+CONSTANT = 0.25
 #: A whole token with a digit in it.
 VARIABLE = r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*"
 FIELD = "<*>"
@@ -41,12 +44,15 @@ def tokens(line: Column) -> Column:
 
 
 def _parsed(docs: DataFrame, depth: int) -> DataFrame:
-    """doc_id, line_no, n, leaf, line: the tree's path of each line, as hashes."""
-    exploded = docs.select("doc_id", F.posexplode(lines_of(F.col("text"))).alias("line_no", "raw"))
-    parsed = exploded.select("doc_id", "line_no", tokens(F.col("raw")).alias("tokens"))
+    """doc_id, line_no, text_key, n, leaf, line: the tree's path of each line, as hashes.
+
+    ``text_key`` tells the texts of rows that share a doc_id apart.
+    """
+    exploded = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.posexplode(lines_of(F.col("text"))).alias("line_no", "raw"))
+    parsed = exploded.select("doc_id", "line_no", "text_key", tokens(F.col("raw")).alias("tokens"))
     n = F.size("tokens")
     return parsed.select(
-        "doc_id", "line_no", n.alias("n"),
+        "doc_id", "line_no", "text_key", n.alias("n"),
         F.xxhash64(n, F.slice("tokens", 1, depth)).alias("leaf"),
         F.xxhash64(F.lit(1), "tokens").alias("line"),
     )
@@ -54,23 +60,33 @@ def _parsed(docs: DataFrame, depth: int) -> DataFrame:
 
 def _generalised(docs: DataFrame, distinct: DataFrame, stage: Stage, depth: int, similar: float) -> DataFrame:
     """leaf, line, template for the lines that have variable fields outside the lead."""
-    leaves = distinct.groupBy("leaf").agg(F.count(F.lit(1)).alias("lines")).where("lines > 1").select("leaf")
+    leaves = distinct.groupBy("leaf").agg(F.count(F.lit(1)).alias("of_leaf")).where("of_leaf > 1")
     wanted = (
         distinct.where(F.col("n") > depth)
-        .join(leaves, "leaf", "left_semi")
-        .groupBy("first.doc_id")
-        .agg(F.collect_list(F.struct("first.line_no", "leaf", "line")).alias("wanted"))
+        .join(leaves, "leaf")
+        .groupBy("first.doc_id", "first.text_key")
+        .agg(
+            F.collect_list(F.struct("first.line_no", "leaf", "line", "of_leaf")).alias("wanted"),
+            F.sum(F.col("n") - depth).alias("fields"),
+        )
     )
     wanted = stage.put(wanted, "wanted")
+    once = docs.withColumn("text_key", F.xxhash64("text"))
     rows = (
-        docs.join(small_or_not(wanted), "doc_id")
+        once.join(small_or_not(wanted.drop("fields")), ["doc_id", "text_key"])
         .select(lines_of(F.col("text")).alias("lines"), F.explode("wanted").alias("w"))
-        .select("w.leaf", "w.line", tokens(F.element_at("lines", F.col("w.line_no") + 1)).alias("tokens"))
-        .select("leaf", "line", F.size("tokens").alias("n"), F.posexplode(F.slice("tokens", depth + 1, 1 << 30)).alias("at", "token"))
-        .select("leaf", "line", "n", "at", F.xxhash64("token").alias("token"))
+        .select("w.leaf", "w.line", "w.of_leaf", tokens(F.element_at("lines", F.col("w.line_no") + 1)).alias("tokens"))
+        .select("leaf", "line", "of_leaf", F.size("tokens").alias("n"), F.posexplode(F.slice("tokens", depth + 1, 1 << 30)).alias("at", "token"))
+        .select("leaf", "line", "of_leaf", "n", "at", F.xxhash64("token").alias("token"))
     )
     rows = stage.put(rows, "fields")
-    constant = rows.groupBy("leaf", "at", "token").agg(F.count(F.lit(1)).alias("lines")).where("lines > 1")
+    if rows.count() > (wanted.agg(F.sum("fields")).first()[0] or 0):
+        # Rows repeat as a whole: each of their lines was taken apart as often.
+        rows = stage.put(rows.dropDuplicates(["leaf", "line", "at"]), "fields-once")
+    enough = F.greatest(F.lit(2), F.first("of_leaf") * F.lit(CONSTANT))
+    constant = rows.groupBy("leaf", "at", "token").agg(
+        F.count(F.lit(1)).alias("lines"), enough.alias("enough")
+    ).where("lines >= enough")
     constant = constant.select("leaf", "at", "token", F.lit(1).alias("constant"))
     marked = rows.join(constant, ["leaf", "at", "token"], "left")
     shown = F.when(F.col("constant").isNotNull(), F.col("token"))
@@ -95,11 +111,11 @@ def _recurring(
     parsed = stage.put(_parsed(plain, depth).where(F.col("n") >= min_tokens), "parsed")
     place = F.struct("doc_id", "line_no")
     distinct = stage.put(
-        parsed.groupBy("leaf", "line", "n").agg(F.min(place).alias("first")), "distinct"
+        parsed.groupBy("leaf", "line", "n").agg(F.min(F.struct("doc_id", "line_no", "text_key")).alias("first")), "distinct"
     )
     general = stage.put(_generalised(plain, distinct, stage, depth, similar), "templates")
     with_template = parsed.join(small_or_not(general), ["leaf", "line"], "left").select(
-        "doc_id", "line_no", "leaf", F.coalesce("template", "line").alias("template"),
+        "doc_id", "line_no", "text_key", "leaf", F.coalesce("template", "line").alias("template"),
         F.col("template").isNotNull().alias("general"),
     )
     with_template = stage.put(with_template, "lines")
@@ -111,23 +127,26 @@ def _recurring(
         .where(F.col("docs") >= min_docs)
     )
     met = with_template.join(small_or_not(stage.put(recurring, "recurring")), [*KEY])
-    return with_template, met.where(place != F.col("first")).select("doc_id", "line_no", *KEY, "first")
+    return with_template, met.where(place != F.col("first")).select("doc_id", "line_no", "text_key", *KEY, "first")
 
 
 def recurring_lines(docs: DataFrame, **how) -> DataFrame:
     """doc_id, line_no of every line to drop.
 
     Lines of fewer than ``min_tokens`` tokens stay. Null texts have no lines; a null doc_id
-    is left alone. Rows that share a doc_id count as one document.
+    is left alone. Rows that share a doc_id count as one document, each with lines of its own.
     """
     return _recurring(docs, **how)[1].select("doc_id", "line_no")
 
 
 def _with_rest(docs: DataFrame, drops: DataFrame, stage: Stage) -> DataFrame:
     """``docs`` with the numbers of their lines to drop, and what is left; null where all stays."""
-    drops = drops.groupBy("doc_id").agg(F.collect_set("line_no").alias("__drop"))
-    drops = stage.put(drops.withColumnRenamed("doc_id", "__doc"), "drops")
-    met = docs.join(small_or_not(drops), F.col("doc_id") == F.col("__doc"), "left")
+    drops = drops.groupBy(F.col("doc_id").alias("__doc"), F.col("text_key").alias("__key")).agg(
+        F.collect_set("line_no").alias("__drop")
+    )
+    drops = stage.put(drops, "drops")
+    own = (F.col("doc_id") == F.col("__doc")) & (F.xxhash64("text") == F.col("__key"))
+    met = docs.join(small_or_not(drops), own, "left")
     rest = F.array_join(
         F.filter(lines_of(F.col("text")), lambda _, i: ~F.array_contains("__drop", i)), "\n"
     )
@@ -144,7 +163,7 @@ def _but_of_copies(
     has the first of one, or would lose much itself. Only such documents are classed.
     """
     drops = stage.put(drops, "all-drops")
-    rest = _with_rest(docs.select("doc_id", "text"), drops.select("doc_id", "line_no"), stage).where("__rest is not null")
+    rest = _with_rest(docs.select("doc_id", "text"), drops.select("doc_id", "line_no", "text_key"), stage).where("__rest is not null")
     share = F.lit(1) - F.char_length("__rest") / F.char_length("text")
     lost = stage.put(rest.groupBy("doc_id").agg(F.max(share).alias("share")).where(F.col("share") > spare / 2), "lost")
     heavy = lost.where(F.col("share") > spare).select("doc_id")
@@ -160,8 +179,8 @@ def _but_of_copies(
     held = lines.join(excused.select(*KEY).distinct(), [*KEY], "left_semi").select(*KEY, "doc_id").distinct()
     by_class = held.join(classed, "doc_id", "left").select(*KEY, F.coalesce("class_id", "doc_id").alias("class_id")).distinct()
     wide = by_class.groupBy(*KEY).agg(F.count(F.lit(1)).alias("classes")).where(F.col("classes") >= min_docs)
-    excused = stage.put(excused.join(wide, [*KEY], "left_anti").select("doc_id", "line_no"), "only-copied")
-    return drops.join(small_or_not(excused), ["doc_id", "line_no"], "left_anti")
+    excused = stage.put(excused.join(wide, [*KEY], "left_anti").select("doc_id", "line_no", "text_key"), "only-copied")
+    return drops.join(small_or_not(excused), ["doc_id", "line_no", "text_key"], "left_anti")
 
 
 def drop_recurring_lines(
@@ -180,7 +199,7 @@ def drop_recurring_lines(
     lines, drops = _recurring(docs, min_docs=min_docs, **how)
     if spare is not None:
         drops = _but_of_copies(docs, lines, drops, spare, classes, min_docs, stage)
-    cleaned = _with_rest(docs.drop("dropped_lines"), drops.select("doc_id", "line_no"), stage)
+    cleaned = _with_rest(docs.drop("dropped_lines"), drops.select("doc_id", "line_no", "text_key"), stage)
     lost = F.when(F.col("__rest").isNotNull(), F.size("__drop")).otherwise(F.lit(0))
     return (
         cleaned.withColumn("dropped_lines", lost)

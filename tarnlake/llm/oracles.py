@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-#: Line templates: leaves by token count and three leading tokens, fields that one distinct
-#: line has at a position, templates of at least 0.8 constant tokens in three documents.
+#: Line templates: leaves by token count and three leading tokens, constants that a quarter of
+#: the leaf's distinct lines, two at least, have at a position, templates of at least 0.8 constant tokens in three documents.
 LINES = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 raw AS (
@@ -18,12 +18,13 @@ tokens AS (
     FROM raw),
 parsed AS (SELECT doc_id, line_no, t, len(t) AS n, t[1:3] AS lead FROM tokens WHERE len(t) >= 5),
 kinds AS (SELECT DISTINCT n, lead, t FROM parsed),
-leaves AS (SELECT n, lead FROM kinds GROUP BY ALL HAVING count(*) > 1),
+leaves AS (SELECT n, lead, count(*) AS of_leaf FROM kinds GROUP BY ALL HAVING count(*) > 1),
 fields AS (
-    SELECT n, lead, t, unnest(t[4:]) AS token, generate_subscripts(t[4:], 1) AS place
+    SELECT n, lead, t, of_leaf, unnest(t[4:]) AS token, generate_subscripts(t[4:], 1) AS place
     FROM kinds JOIN leaves USING (n, lead)),
 constants AS (
-    SELECT n, lead, place, token, 1 AS constant FROM fields GROUP BY ALL HAVING count(*) > 1),
+    SELECT n, lead, place, token, 1 AS constant FROM fields GROUP BY n, lead, place, token
+    HAVING count(*) >= greatest(2, 0.25::DOUBLE * max(of_leaf))),
 shaped AS (
     SELECT n, lead, t, count(constant) + 3 AS constants,
            list(CASE WHEN constant = 1 THEN token ELSE chr(1) END ORDER BY place) AS shape

@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from tarnlake.llm.cutting_stock import cut
 from tarnlake.llm.numbering import cells_for, number_within
-from tarnlake.llm.staging import Stage
-from tarnlake.llm.tokens import TEXT_BYTES, encoder
+from tarnlake.llm.staging import Stage, small_batches
+from tarnlake.llm.tokens import REMEMBERED, TEXT_BYTES, encoder
 from tarnlake.llm.words import slices
 
 CAPACITY = 4096
@@ -26,17 +26,21 @@ CAPACITY = 4096
 CLASSES, STEP = 256, 4
 
 
-def pieces_of(docs: DataFrame, tokenizer: str, end: int, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
+def pieces_of(
+    docs: DataFrame, tokenizer: str, end: int, capacity: int = CAPACITY, with_ids: bool = False,
+    text_bytes: int = TEXT_BYTES, remembered: int = REMEMBERED,
+) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens of each piece, and its ids if asked for.
 
     The checksum is of the ids as little-endian 32-bit integers, which is also the form of
-    ``ids``. A null or empty text is one piece, the id ``end``.
+    ``ids``. A null or empty text is one piece, the id ``end``. Texts of ``text_bytes`` are
+    encoded at once, and ``remembered`` words kept by a worker: less of both is slower and smaller.
     """
 
     def encode(batches):
         for batch in batches:
-            for part in slices(batch, size=TEXT_BYTES):
-                ids, bounds = encoder(tokenizer).encode(part.column("text"), end)
+            for part in slices(batch, size=text_bytes):
+                ids, bounds = encoder(tokenizer, remembered).encode(part.column("text"), end)
                 raw = memoryview(ids.astype("<u4").tobytes())
                 sizes = np.diff(bounds)
                 counts = -(-sizes // capacity)
@@ -138,9 +142,13 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def pack_documents(
-    docs: DataFrame, tokenizer: str, end: int, capacity: int = CAPACITY, with_ids: bool = False
+    docs: DataFrame, tokenizer: str, end: int, capacity: int = CAPACITY, with_ids: bool = False, rows: int = 10_000, **how: int
 ) -> DataFrame:
-    """Encode, cut and pack whole texts; see ``pieces_of`` and ``pack`` for the columns."""
+    """Encode, cut and pack whole texts; see ``pieces_of`` and ``pack`` for the columns.
+
+    ``rows`` of texts are handed to a worker at once; ``how`` goes to ``pieces_of``.
+    """
     stage = Stage(docs.sparkSession, "packing")
-    pieces = stage.put(pieces_of(docs, tokenizer, end, capacity, with_ids), "pieces")
+    with small_batches(docs.sparkSession, rows):
+        pieces = stage.put(pieces_of(docs, tokenizer, end, capacity, with_ids, **how), "pieces")
     return pack(pieces, capacity)

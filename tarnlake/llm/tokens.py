@@ -26,7 +26,8 @@ AT_ONCE, BAR = 64, "|"
 class WordEncoder:
     """Encodes batches of texts; lives in one worker process."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, remembered: int = REMEMBERED) -> None:
+        self._remembered = remembered
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -57,7 +58,7 @@ class WordEncoder:
 
     def _numbers(self, words: list[str]) -> np.ndarray:
         """A number for each word, under which its ids are kept."""
-        if len(self._known) > REMEMBERED:
+        if len(self._known) > self._remembered:
             self._forget()
         new = [word for word in words if word not in self._known]
         if new:
@@ -88,14 +89,15 @@ class WordEncoder:
         return ids[at], total[bounds]
 
 
-_encoders: dict[str, WordEncoder] = {}
+_encoders: dict[tuple[str, int], WordEncoder] = {}
 
 
-def encoder(path: str) -> WordEncoder:
-    """The worker's encoder of a tokenizer file."""
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+def encoder(path: str, remembered: int = REMEMBERED) -> WordEncoder:
+    """The worker's encoder of a tokenizer file; one at a time, as each holds its words."""
+    if (path, remembered) not in _encoders:
+        _encoders.clear()
+        _encoders[path, remembered] = WordEncoder(path, remembered)
+    return _encoders[path, remembered]
 
 
 def public_tokenizer(name: str = "word_bpe_49k.json") -> str:

@@ -67,7 +67,8 @@ def template_drops(rows, min_docs=3, min_tokens=5, depth=3, similar=0.8) -> dict
     for found in leaves.values():
         seen = Counter((p, w) for t in found for p, w in enumerate(t))
         for t in found:
-            general = tuple(w if p < depth or seen[(p, w)] > 1 else None for p, w in enumerate(t))
+            enough = max(2, 0.25 * len(found))
+            general = tuple(w if p < depth or seen[(p, w)] >= enough else None for p, w in enumerate(t))
             constants = sum(w is not None for w in general)
             fits = len(found) > 1 and len(t) > depth and similar * len(t) <= constants < len(t)
             template[t] = general if fits else t

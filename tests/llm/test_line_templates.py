@@ -1,0 +1,42 @@
+"""Line templates: any number of lines of one template, and rows that share a doc_id."""
+
+import random
+
+import pytest
+
+from tarnlake.llm.line_templates import drop_recurring_lines
+
+NAMES = [f"name{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(40)]
+CITIES = [f"city{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(30)]
+SCHEMA = "doc_id long, text string"
+
+
+@pytest.mark.parametrize("docs", [10, 100, 1000, 10_000])
+def test_a_template_goes_whatever_the_number_of_its_lines(spark, docs):
+    rng = random.Random(docs)
+    notice = "this notice was posted for members by {} from {} today"
+    rows = [(i, f"own words of text {i} here\n{notice.format(rng.choice(NAMES), rng.choice(CITIES))}") for i in range(docs)]
+    found = drop_recurring_lines(spark.createDataFrame(rows, SCHEMA)).collect()
+    dropped = sum("notice" not in r["text"] for r in found)
+    assert dropped == docs - 1
+    assert all(("notice" in r["text"]) == (r["doc_id"] == 0) for r in found)
+
+
+def test_rows_of_one_id_and_different_texts(spark):
+    line = "all of the rights in this page are reserved"
+    rows = [
+        (1, f"{line}\na b c d e\nlast line of the first text"), (1, "short"), (1, f"one two\nthree four\n{line}"), (2, line), (3, f"x\n{line}"),
+        (4, f"y\n{line}"), (4, f"y\n{line}"), (4, f"y\n{line}"), (5, None), (None, line),
+    ]
+    found = sorted((r["doc_id"] or 0, r["text"] or "", r["dropped_lines"]) for r in drop_recurring_lines(spark.createDataFrame(rows, SCHEMA)).collect())
+    assert found == sorted([
+        (1, f"{line}\na b c d e\nlast line of the first text", 0), (1, "short", 0), (1, "one two\nthree four", 1), (2, "", 1), (3, "x", 1),
+        (4, "y", 1), (4, "y", 1), (4, "y", 1), (5, "", 0), (0, line, 0),
+    ])
+
+
+def test_repeated_rows_do_not_make_constants(spark):
+    """Two distinct lines of a leaf, one of them in rows that repeat: the field stays a field."""
+    rows = [(1, "say the word for alice now please ok")] * 4 + [(2, "say the word for bob now please ok"), (3, "say the word for carol now please ok")]
+    found = drop_recurring_lines(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r["doc_id"]: r["text"] for r in found} == {1: rows[0][1], 2: "", 3: ""}
