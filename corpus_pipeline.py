@@ -54,9 +54,10 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each document stands in the sequences of at most 4096 ids.
 
-    The ids themselves are not moved here; ``pack_documents(with_ids=True)`` carries them.
+    Workers take small batches and keep few words, as the stages before have left the executors
+    little memory. The ids themselves are not moved here; ``pack_documents(with_ids=True)`` carries them.
     """
-    return pack_documents(docs, public_tokenizer(), END)
+    return pack_documents(docs, public_tokenizer(), END, rows=2000, text_bytes=2 << 20, remembered=1 << 18)
 
 
 STAGES = [
