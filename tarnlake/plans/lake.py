@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass
+from datetime import datetime, timezone
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,10 +18,11 @@ from tarnlake.operators.gold import (
     quarter_quantities_by_product,
     quarter_quantities_by_product_key,
 )
+from tarnlake.operators.history import enrich_as_of, first_states, next_states
 from tarnlake.operators.roles import enrich
 from tarnlake.operators.sketches import Profile, audit_commits, measure_quantiles
 from tarnlake.operators.skew import HotKeys
-from tarnlake.operators.tables import create_gold, quoted, stage_dim
+from tarnlake.operators.tables import create_gold, quoted, stage_dim, write_dim
 from tarnlake.operators.versions import Check, Version, publish_all, roll_back, unique_key
 from tarnlake.plans.star import (
     DIMENSION_KEYS,
@@ -138,6 +140,29 @@ class Lake:
         ]
         return dict(zip(dims, publish_all(loads, [f"Dimension {name}" for name in dims]), strict=True))
 
+    def note_dims(self, at: datetime | None = None) -> dict[str, DataFrame]:
+        """Add the dimensions as they are now to their histories, as of ``at`` (by default now).
+
+        Call it after ``load_dims`` and before the next silver run.
+        """
+        at = at or datetime.now(timezone.utc)
+        noted = {}
+        for name, dim in self.dims().items():
+            table, key = self.qualified(f"{name}_history"), DIMENSION_KEYS[name]
+            known = self.spark.catalog.tableExists(table)
+            states = next_states(self.spark.table(table), dim, key, at) if known else first_states(dim, at)
+            noted[name] = write_dim(states, table, self.fmt, f"{self.root}/histories/{name}", f"States of {name}")
+        return noted
+
+    def rebuilt_silver(self, feed: Feed, time: str = "receipt_time") -> DataFrame:
+        """Silver made again from all bronze rows, with the dimensions as they were at ``time``.
+
+        That is what ``silver`` made if it ran before dimensions changed again after the receipt.
+        """
+        bronze = self.table(feed.bronze_table)
+        histories = {role.dim: self.table(f"{role.dim}_history") for role in feed.roles}
+        return enrich_as_of(bronze, histories, feed.roles, time, feed.silver_columns)
+
     def roll_back_dim(self, name: str) -> DataFrame:
         """The dimension as it was before its last load."""
         return roll_back(self.spark, self.qualified(name), self._dim_folder(name), self.fmt)

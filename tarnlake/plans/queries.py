@@ -32,6 +32,7 @@ from tarnlake.operators import (
     replace_collections,
     top,
 )
+from tarnlake.operators.layout import clustered, manifest, read_ranges
 from tarnlake.operators.sketches import RANK_ERROR, RELATIVE_ERROR
 from tarnlake.plans.lake import Lake
 from tarnlake.plans.landing import JSON_TIMESTAMPS, land_arrays, land_csv_lines, land_lines
@@ -485,6 +486,21 @@ def dim_rolled_back(spark: SparkSession, folder: str) -> DataFrame:
     return second.unionByName(back.select(F.lit("back").alias("state"), "customer_key", "last_name"))
 
 
+def silver_rebuilt(spark: SparkSession, folder: str) -> DataFrame:
+    """Silver of two deliveries made again from bronze, with products as they were at each."""
+    star = SampleStar(spark, folder)
+    lake = _lake(spark, "rebuilt")
+    landing, facts = f"{lake.root}/landing", star.inventory_transaction_facts()
+    renamed = star.dim_product.withColumn("product_name", F.upper("product_name"))
+    returned = F.col("inventory_transaction_type") == "R"
+    for products, delivery in ((star.dim_product, facts.where(returned)), (renamed, facts.where(~returned))):
+        lake.load_dims({"dim_product": products, "dim_date": star.dim_date})
+        lake.note_dims()
+        land_lines(delivery, landing)
+        lake.bronze(INVENTORY_TRANSACTIONS, landing, multi_line=False)
+    return lake.rebuilt_silver(INVENTORY_TRANSACTIONS)
+
+
 def gold_guarded(spark: SparkSession, folder: str) -> DataFrame:
     """A gold table that a build from nothing must not replace."""
     lake = _lake(spark, "gold-guarded")
@@ -570,6 +586,16 @@ def gold_table(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def clustered_ranges(spark: SparkSession, folder: str) -> DataFrame:
+    """Ranges of two columns out of a table laid out by both, read through its manifest."""
+    lines = SampleStar(spark, folder).purchase_lines()
+    root, columns = run_folder(spark, "clustered"), ["product_key", "supplier_key"]
+    table = stored(clustered(lines, columns, 64), f"{root}/lines")
+    files = stored(manifest(table, columns), f"{root}/manifest")
+    found = read_ranges(spark, files, table, {"product_key": (1, 50), "supplier_key": (3, 5)})
+    return found.withColumn("few_files", F.lit(len(found.inputFiles()) <= 32))
+
+
 def csv_dim(spark: SparkSession, folder: str) -> DataFrame:
     """Names get a quote, a comma and a line break on the way out."""
     customers = SampleStar(spark, folder).table("customer")
@@ -666,6 +692,7 @@ QUERIES: dict[str, Query] = {
     "bronze_salvaged": bronze_salvaged,
     "dims_guarded": dims_guarded,
     "dim_rolled_back": dim_rolled_back,
+    "silver_rebuilt": silver_rebuilt,
     "gold_guarded": gold_guarded,
     "dim_date": dim_date,
     "audit_tables": audit_tables,
@@ -674,6 +701,7 @@ QUERIES: dict[str, Query] = {
     "quantiles_once": quantiles_once,
     "topk_preview": topk_preview,
     "gold_table": gold_table,
+    "clustered_ranges": clustered_ranges,
     "csv_dim": csv_dim,
     "document_scan": document_scan,
     "replace_collection": replace_collection,

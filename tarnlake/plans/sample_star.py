@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tarnlake.functions import date_dimension_for, date_key
 from tarnlake.operators.roles import Role
-from tarnlake.plans.workspace import run_folder, stored
+from tarnlake.plans.workspace import run_folder, stored, written_at
 
 
 def _priority() -> Column:
@@ -104,10 +104,12 @@ class SampleStar:
         Queries that join a date read it and not the facts' date columns once more, and
         Spark knows its size.
         """
-        view = f"tarnlake_calendar_{sha256(self.folder.encode()).hexdigest()[:16]}"
+        dated = (self.table("orders"), self.table("lineitem"))
+        written = " ".join(written_at(self.spark, file) for table in dated for file in table.inputFiles())
+        view = f"tarnlake_calendar_{sha256(f'{self.folder} {written}'.encode()).hexdigest()[:16]}"
         if not self.spark.catalog.tableExists(view):
             days = date_dimension_for(
-                (self.table("orders"), "o_orderdate"), (self.table("lineitem"), "l_shipdate")
+                (dated[0], "o_orderdate"), (dated[1], "l_shipdate")
             )
             stored(days, run_folder(self.spark, "calendar")).createOrReplaceTempView(view)
         return self.spark.table(view)

@@ -1,0 +1,93 @@
+"""Tables along a Z-order curve, and files picked by a manifest."""
+
+from datetime import date, timedelta
+
+import pytest
+from fixtures import bag
+from pyspark.sql import functions as F
+
+from tarnlake.operators.layout import clustered, files_for, manifest, read_ranges, z_order
+
+
+@pytest.fixture(scope="module")
+def table(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("layout") / "t")
+    rows = spark.range(40_000).select(
+        F.pmod(F.xxhash64("id"), F.lit(5000)).alias("a"),
+        F.pmod(F.xxhash64("id", F.lit(1)), F.lit(300)).alias("b"),
+        F.when(F.col("id") % 100 != 0, F.concat(F.lit("n"), F.pmod(F.xxhash64("id", F.lit(2)), F.lit(1000)))).alias("s"),
+        F.date_add(F.lit(date(2020, 1, 1)), F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1000)).cast("int")).alias("d"),
+    )
+    clustered(rows, ["a", "b"], 64).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.fixture(scope="module")
+def files(table):
+    return manifest(table, ["a", "b"]).cache()
+
+
+def test_every_row_is_there_once(spark, table, files):
+    assert table.count() == 40_000
+    assert files.count() == 64
+    assert files.agg(F.sum("rows")).first()[0] == 40_000
+    assert files.agg(F.max("rows")).first()[0] < 4 * 40_000 / 64
+
+
+@pytest.mark.parametrize(
+    "asked, share",
+    [({"a": (17, 17)}, 0.25), ({"b": (5, 5)}, 0.25), ({"a": (17, 17), "b": (5, 5)}, 0.05), ({"a": (4900, None)}, 0.25), ({"b": (None, 10)}, 0.25)],
+)
+def test_few_files_for_each_column(spark, table, files, asked, share):
+    names = files_for(files, asked)
+    assert 0 < len(names) <= share * 64
+    found = read_ranges(spark, files, table, asked)
+    expected = table
+    for name, (low, high) in asked.items():
+        expected = expected.where(F.lit(True) if low is None else F.col(name) >= low).where(F.lit(True) if high is None else F.col(name) <= high)
+    assert bag(found.collect()) == bag(expected.collect())
+    assert {name.rsplit("/", 1)[1] for name in found.inputFiles()} <= {name.rsplit("/", 1)[1] for name in names}
+
+
+def test_nothing_and_everything(spark, table, files):
+    assert read_ranges(spark, files, table, {"a": (9000, None)}).count() == 0
+    assert read_ranges(spark, files, table, {"a": (None, None)}).count() == 40_000
+    assert read_ranges(spark, files, table, {"a": (0, 4000)}, most=3).count() == table.where("a <= 4000").count()
+
+
+def test_text_dates_and_nulls(spark, tmp_path, table):
+    path = str(tmp_path / "t")
+    clustered(table, ["s", "d"], 32).write.parquet(path)
+    laid = spark.read.parquet(path)
+    files = manifest(laid, ["s", "d"])
+    day = date(2020, 1, 1) + timedelta(days=500)
+    for asked in ({"s": ("n500", "n500")}, {"d": (day, day)}):
+        assert len(files_for(files, asked)) <= 16
+        (name, (low, _)), = asked.items()
+        assert read_ranges(spark, files, laid, asked).count() == table.where(F.col(name) == low).count()
+    assert laid.where("s IS NULL").count() == table.where("s IS NULL").count()
+    assert files.where("s_nulls").count() >= 1
+
+
+def test_one_value_fills_several_files(spark, tmp_path):
+    same = spark.range(10_000).select(F.lit(1).alias("a"), F.lit(None).cast("int").alias("b"), "id")
+    path = str(tmp_path / "t")
+    clustered(same, ["a", "b"], 8).write.parquet(path)
+    rows = manifest(spark.read.parquet(path), ["a", "b"]).agg(F.max("rows"), F.count("file")).first()
+    assert rows[0] < 5000 and rows[1] == 8
+
+
+def test_an_empty_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    empty = spark.createDataFrame([], "a INT, b STRING")
+    clustered(empty, ["a", "b"], 4).write.parquet(path)
+    laid = spark.read.schema("a INT, b STRING").parquet(path)
+    assert read_ranges(spark, manifest(laid, ["a", "b"]), laid, {"a": (1, 1)}).count() == 0
+
+
+def test_places_follow_both_columns(spark):
+    grid = spark.range(64).select((F.col("id") % 8).alias("x"), F.floor(F.col("id") / 8).alias("y"))
+    places = {(r.x, r.y): r.z for r in grid.withColumn("z", z_order(grid, ["x", "y"], 3)).collect()}
+    assert len(set(places.values())) == 64
+    near = [abs(places[x, y] - places[x + 1, y]) for x in range(0, 8, 2) for y in range(8)]
+    assert set(near) == {1}
