@@ -220,7 +220,7 @@ def test_op10_classes_match_all_pairs(spark, corpus, rows):
 
 
 def test_every_query_has_its_number():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", ORACLES)
