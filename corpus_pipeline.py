@@ -4,7 +4,7 @@ Toxic documents go; lines of recurring templates go; of each class of near copie
 document stays; sources are mixed to their target weights, so that a document may go or
 stand twice; what is left is packed into sequences of token ids.
 
-Null and empty texts pass the first three stages, are never in the mix, and so are not
+Null and empty texts, and those that line dedup leaves empty, pass the first three stages, are never in the mix, and so are not
 packed. Empty tables give empty results. Columns beside those of ``documents`` are carried
 up to the last stage, which returns pieces of documents with their place in a sequence.
 """
@@ -17,14 +17,11 @@ from pyspark.sql import functions as F
 from tarnlake.llm.line_templates import drop_recurring_lines
 from tarnlake.llm.mixing import mixed
 from tarnlake.llm.packing import pack_documents
-from tarnlake.llm.prob_minhash import near_duplicates, without_near_duplicates
+from tarnlake.llm.prob_minhash import without_near_duplicates
 from tarnlake.llm.staging import Stage
 from tarnlake.llm.tokens import public_tokenizer
 from tarnlake.llm.toxicity import without_toxic
 
-#: A document that would lose more than this share of its text to line dedup is left for the
-#: next stage to judge, if it is a near copy of another; boilerplate goes from it all the same.
-SPARE = 0.5
 #: Id put after each document.
 END = 2
 
@@ -35,8 +32,11 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines whose template recurs; ``n_chars`` is that of what is left."""
-    cleaned = drop_recurring_lines(docs, spare=SPARE, classes=near_duplicates)
+    """Documents without the lines whose template recurs; ``n_chars`` is that of what is left.
+
+    The first document of each line keeps it, so of whole copies the first stays whole.
+    """
+    cleaned = drop_recurring_lines(docs)
     length = F.when(F.col("dropped_lines") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
     return cleaned.withColumn("n_chars", length.cast("long")).select(*docs.columns)
 
