@@ -14,8 +14,6 @@ only lines of leaves with several distinct lines are taken apart.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -104,8 +102,8 @@ KEY = ("leaf", "template", "general")
 
 def _recurring(
     docs: DataFrame, min_docs: int = 3, min_tokens: int = 5, depth: int = DEPTH, similar: float = 0.8
-) -> tuple[DataFrame, DataFrame]:
-    """All lines with their template, and those to drop with the first place of theirs."""
+) -> DataFrame:
+    """The lines to drop, by document, text and number."""
     stage = Stage(docs.sparkSession, "lines")
     plain = docs.select("doc_id", "text").where("doc_id is not null and text is not null")
     parsed = stage.put(_parsed(plain, depth).where(F.col("n") >= min_tokens), "parsed")
@@ -127,7 +125,7 @@ def _recurring(
         .where(F.col("docs") >= min_docs)
     )
     met = with_template.join(small_or_not(stage.put(recurring, "recurring")), [*KEY])
-    return with_template, met.where(place != F.col("first")).select("doc_id", "line_no", "text_key", *KEY, "first")
+    return met.where(place != F.col("first")).select("doc_id", "line_no", "text_key")
 
 
 def recurring_lines(docs: DataFrame, **how) -> DataFrame:
@@ -136,7 +134,7 @@ def recurring_lines(docs: DataFrame, **how) -> DataFrame:
     Lines of fewer than ``min_tokens`` tokens stay. Null texts have no lines; a null doc_id
     is left alone. Rows that share a doc_id count as one document, each with lines of its own.
     """
-    return _recurring(docs, **how)[1].select("doc_id", "line_no")
+    return _recurring(docs, **how).select("doc_id", "line_no")
 
 
 def _with_rest(docs: DataFrame, drops: DataFrame, stage: Stage) -> DataFrame:
@@ -153,53 +151,14 @@ def _with_rest(docs: DataFrame, drops: DataFrame, stage: Stage) -> DataFrame:
     return met.withColumn("__rest", F.when(F.col("__drop").isNotNull(), rest))
 
 
-def _but_of_copies(
-    docs: DataFrame, lines: DataFrame, drops: DataFrame, spare: float,
-    classes: Callable[[DataFrame], DataFrame], min_docs: int, stage: Stage,
-) -> DataFrame:
-    """``drops`` without the lines that recur only because their document has copies.
-
-    A copy of a document that would lose more than ``spare`` holds most of the same lines: it
-    has the first of one, or would lose much itself. Only such documents are classed.
-    """
-    drops = stage.put(drops, "all-drops")
-    rest = _with_rest(docs.select("doc_id", "text"), drops.select("doc_id", "line_no", "text_key"), stage).where("__rest is not null")
-    share = F.lit(1) - F.char_length("__rest") / F.char_length("text")
-    lost = stage.put(rest.groupBy("doc_id").agg(F.max(share).alias("share")).where(F.col("share") > spare / 2), "lost")
-    heavy = lost.where(F.col("share") > spare).select("doc_id")
-    theirs = drops.join(heavy, "doc_id", "left_semi")
-    judged = lost.select("doc_id").unionByName(theirs.select("first.doc_id")).distinct()
-    judged = stage.put(judged.withColumnRenamed("doc_id", "__judged"), "judged")
-    texts = docs.select("doc_id", "text").join(small_or_not(judged), F.col("doc_id") == F.col("__judged"), "left_semi")
-    classed = classes(stage.put(texts, "judged-texts")).groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
-    classed = stage.put(classed, "classes")
-    several = classed.groupBy("class_id").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
-    copies = classed.join(several, "class_id", "left_semi").join(heavy, "doc_id", "left_semi").select("doc_id")
-    excused = stage.put(drops.join(copies, "doc_id", "left_semi"), "excused")
-    held = lines.join(excused.select(*KEY).distinct(), [*KEY], "left_semi").select(*KEY, "doc_id").distinct()
-    by_class = held.join(classed, "doc_id", "left").select(*KEY, F.coalesce("class_id", "doc_id").alias("class_id")).distinct()
-    wide = by_class.groupBy(*KEY).agg(F.count(F.lit(1)).alias("classes")).where(F.col("classes") >= min_docs)
-    excused = stage.put(excused.join(wide, [*KEY], "left_anti").select("doc_id", "line_no", "text_key"), "only-copied")
-    return drops.join(small_or_not(excused), ["doc_id", "line_no", "text_key"], "left_anti")
-
-
-def drop_recurring_lines(
-    docs: DataFrame, spare: float | None = None, classes: Callable[[DataFrame], DataFrame] | None = None,
-    min_docs: int = 3, **how,
-) -> DataFrame:
+def drop_recurring_lines(docs: DataFrame, **how) -> DataFrame:
     """``docs`` without the lines that ``recurring_lines`` names, and ``dropped_lines``.
 
-    With ``spare``, a document that would lose more than this share of its characters and is
-    a copy keeps the lines that recur in less than ``min_docs`` classes of copies: they are
-    for document-level dedup to judge. ``classes`` gives doc_id and class_id of documents with
-    doc_id and text; one alone in its class is no copy, and loses all its recurring lines. Null
-    texts stay null; other columns stay as they are; a column ``dropped_lines`` is replaced.
+    Null texts stay null; other columns stay as they are; a column ``dropped_lines`` is replaced.
     """
     stage = Stage(docs.sparkSession, "cleaned")
-    lines, drops = _recurring(docs, min_docs=min_docs, **how)
-    if spare is not None:
-        drops = _but_of_copies(docs, lines, drops, spare, classes, min_docs, stage)
-    cleaned = _with_rest(docs.drop("dropped_lines"), drops.select("doc_id", "line_no", "text_key"), stage)
+    drops = _recurring(docs, **how)
+    cleaned = _with_rest(docs.drop("dropped_lines"), drops, stage)
     lost = F.when(F.col("__rest").isNotNull(), F.size("__drop")).otherwise(F.lit(0))
     return (
         cleaned.withColumn("dropped_lines", lost)

@@ -40,15 +40,14 @@ def test_toxic_documents_go_and_clean_ones_stay(outputs):
     assert len(gone - toxic) <= 1
 
 
-def test_recurring_lines_go_but_copies_stay_whole(outputs):
+def test_recurring_lines_go(outputs):
     docs, result = outputs["line_dedup"]
     before, after = dict(pairs(docs)), dict(pairs(result))
     drops = brute.template_drops(before.items())
     assert set(before) == set(after)
     for doc, text in before.items():
         rest = "\n".join(x for i, x in enumerate((text or "").split("\n")) if i not in drops[doc])
-        whole = text is None or len(rest) < len(text) * (1 - corpus_pipeline.SPARE)
-        assert after[doc] == (text if whole else rest)
+        assert after[doc] == (text if text is None else rest)
     assert sum(before[d] != after[d] for d in before) >= 7
     assert result.where(F.col("n_chars") != F.char_length(F.coalesce("text", F.lit("")))).count() == 0
 
