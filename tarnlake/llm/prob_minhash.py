@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarnlake.llm.components import components
@@ -24,8 +24,8 @@ SHINGLE = 5
 REGISTERS, BANDS = 64, 16
 SIMILAR = 0.8
 #: Four bits of each register are kept as a sketch. Texts at a similarity of 0.8 agree in 52 of
-#: 64 on average; fewer than 1 in 1000 such pairs agree in less than this many.
-SKETCH_AGREES = 42
+#: 64 on average; about 1 in 100,000 such pairs agree in less than this many, far fewer than banding misses.
+SKETCH_AGREES = 38
 #: Bits of the odd sketch of a text's set of shingles (Mitzenmacher et al., 2014).
 ODD_BITS = 1024
 #: Rounds that link the open members of a bucket to one of them before all are compared.
@@ -217,48 +217,39 @@ def _star(members: DataFrame, highest: bool, similar: float) -> DataFrame:
     return met.select(*_pair("one", "hub")).distinct()
 
 
-def _rest(members: DataFrame, similar: float) -> DataFrame:
-    """Possible pairs of a bucket in different components, one of which repeats a shingle."""
-    one = members.select("band", "key", F.struct(*MEMBER).alias("one"))
-    other = members.where("repeats").select(
-        F.col("band").alias("__band"), F.col("key").alias("__key"), F.struct(*MEMBER).alias("other")
-    )
-    same = (F.col("band") == F.col("__band")) & (F.col("key") == F.col("__key"))
-    once = ~F.col("one.repeats") | (F.col("one.doc_id") < F.col("other.doc_id"))
-    apart = once & (F.col("one.component") != F.col("other.component"))
-    met = one.join(other, same & apart & _may_be_near("one", "other", similar))
-    return met.select(*_pair("one", "other")).distinct()
-
-
 def _elements(batches):
     for batch in batches:
         for part in slices(batch):
-            text, element, _ = counted(part.column("text"))
+            text, element, weight = counted(part.column("text"))
             ids = part.column("doc_id").take(pa.array(text))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(element.view(np.int64))], ["doc_id", "element"])
+            yield pa.RecordBatch.from_arrays(
+                [ids, pa.array(element.view(np.int64)), pa.array(weight)], ["doc_id", "element", "weight"]
+            )
 
 
 def _rare(members: DataFrame, texts: DataFrame, similar: float, stage: Stage) -> DataFrame:
-    """Possible pairs of members in different components that repeat no shingle.
-
-    Two sets at this similarity share one of the rarest elements of each, a fifth of it at
-    0.8 (prefix filtering, Chaudhuri et al., 2006). A passage that thousands of texts
-    share is no rare element of texts that have enough of their own, so these never meet.
+    """Possible pairs of members in different components that share a rare element of each.
+
+    An element adds at most its share of either text's runs to the similarity, so the elements
+    that two texts have in common hold ``similar`` of the runs of each. In an order that all
+    texts follow, the first of them stands where no more than the rest of the runs, a fifth at
+    0.8, came before (prefix filtering, Chaudhuri et al., 2006, by weight). Rare elements come
+    first. A passage that thousands of texts share is no rare element of texts that have
+    enough of their own, so these never meet; repeated runs change nothing in this.
     """
-    own = members.where("not repeats").select(F.struct(*MEMBER).alias("member"), "doc_id").distinct()
-    own = stage.put(own, "rare-members")
+    own = stage.put(members.select(F.struct(*MEMBER).alias("member"), "doc_id").distinct(), "rare-members")
     ids = small_or_not(own).select(F.col("doc_id").alias("wanted"))
     wanted = texts.join(ids, F.col("doc_id") == F.col("wanted"), "left_semi")
-    elements = stage.put(wanted.mapInArrow(_elements, "doc_id long, element long"), "elements")
+    elements = stage.put(wanted.mapInArrow(_elements, "doc_id long, element long, weight long"), "elements")
     common = elements.groupBy("element").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1")
-    shared = elements.join(common, "element").groupBy("doc_id").agg(
-        F.sort_array(F.collect_list(F.struct("texts", "element"))).alias("shared")
+    of_text = Window.partitionBy("doc_id")
+    shared = elements.join(common, "element").select(
+        "doc_id", "element", F.sum("weight").over(of_text).alias("shared"),
+        (F.sum("weight").over(of_text.orderBy("texts", "element")) - F.col("weight")).alias("rarer"),
     )
-    size = F.col("member.size")
-    prefix = size - F.ceil(size * F.lit(similar) - F.lit(1e-9)) + 1
-    room = F.greatest(prefix - (size - F.size("shared")), F.lit(0)).cast("int")
-    rare = own.join(shared, "doc_id").select("member", F.explode(F.slice("shared", F.lit(1), room)).alias("rare"))
-    rare = stage.put(rare.select("member", F.col("rare.element").alias("element")), "rare")
+    total = F.col("member.total")
+    early = total - F.col("shared") + F.col("rarer") <= total * F.lit(1 - similar + 1e-9)
+    rare = stage.put(own.join(shared, "doc_id").where(early).select("member", "element"), "rare")
     one, other = rare.withColumnRenamed("member", "one"), rare.select(F.col("member").alias("other"), F.col("element").alias("__element"))
     apart = (F.col("one.doc_id") < F.col("other.doc_id")) & (F.col("one.component") != F.col("other.component"))
     met = one.join(other, (F.col("element") == F.col("__element")) & apart & _may_be_near("one", "other", similar))
@@ -285,8 +276,7 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
 
     Candidates are texts that agree in a band. In each bucket members first meet its
     smallest one, then, where that leaves several components, its largest, and at last
-    the members of other components that share one of its rare shingles (all of them for
-    texts that repeat a shingle). So a pair of a bucket is either ruled out by sketches,
+    the members of other components that share one of its rare shingles. So a pair of a bucket is either ruled out by sketches,
     sizes or rare shingles, or compared, or already in one class, and a group of a thousand
     near copies costs about a thousand comparisons.
 
@@ -315,7 +305,7 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
         labelled = stage.put(opened.join(small_or_not(traits), "doc_id"), "open")
         last = turn == STAR_ROUNDS
         if last:
-            pairs = _rest(labelled, similar).unionByName(_rare(labelled, texts, similar, stage)).distinct()
+            pairs = _rare(labelled, texts, similar, stage)
         else:
             pairs = _star(labelled, turn % 2 == 1, similar)
         if compared is not None:
