@@ -277,8 +277,9 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     Candidates are texts that agree in a band. In each bucket members first meet its
     smallest one, then, where that leaves several components, its largest, and at last
     the members of other components that share one of its rare shingles. So a pair of a bucket is either ruled out by sketches,
-    sizes or rare shingles, or compared, or already in one class, and a group of a thousand
-    near copies costs about a thousand comparisons.
+    sizes or rare shingles, or compared, or already in one class. Members near a hub cost one
+    comparison each; those of a group that are just under ``similar`` to each other and to
+    both hubs are compared pair by pair, as far as the bounds do not part them.
 
     Texts of fewer than five words are one shingle of all of them; null and empty texts are
     near nothing, not even each other. A null doc_id stands alone. Rows that repeat a
