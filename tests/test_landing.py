@@ -1,8 +1,17 @@
-"""Landed lines: files of bounded length."""
+"""Landed lines: files of bounded length, and each line taken apart once."""
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tarnlake.plans import landing
+from tarnlake.sources.schema_log import filled_back
+from tarnlake.streaming.ingest import _rescued_lines
+
+SCHEMA = StructType().add("a", "long").add("d", "double").add("s", "string")
+
+
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_more_lines_are_more_compressed_files(spark, tmp_path, monkeypatch):
@@ -14,3 +23,34 @@ def test_more_lines_are_more_compressed_files(spark, tmp_path, monkeypatch):
     assert sum(file.stat().st_size for file in files) < 1000 * 26
     assert spark.read.json(f"{tmp_path}/in").select("id", "text").exceptAll(df).count() == 0
     assert spark.read.json(f"{tmp_path}/in").count() == 1000
+
+
+def test_rescued_members_are_sifted_once(spark, tmp_path):
+    (tmp_path / "1.json").write_text('{"a": 1, "b": 2}\n')
+    rows = _rescued_lines(spark.read, str(tmp_path), SCHEMA, True, {})
+    assert optimized(rows).count("map_filter(") == 1
+    assert [row["_rescued"] for row in rows.collect()] == ['{"b":2}']
+
+
+def test_kept_text_is_parsed_once_to_fill_back(spark):
+    rows = spark.createDataFrame([(1, '{"w": 2, "x": "y"}'), (2, None), (3, "no json")], "a BIGINT, _rescued STRING")
+    filled = filled_back(rows, StructType.fromDDL("a BIGINT, w BIGINT, v DOUBLE"), "_rescued")
+    assert optimized(filled).count("parseJson(") == 1
+    assert sorted(map(tuple, filled.collect())) == [(1, 2, None, '{"x":"y"}'), (2, None, None, None), (3, None, None, "no json")]
+
+
+def test_lines_of_every_form(spark, tmp_path):
+    lines = [
+        '{"a":1,"d":2.5,"s":"x:y"}', '{"a":2}', '{"a":null,"s":"z"}', '[{"a":3},{}]', '[{"a":4},{"a":5}]', '{"a":6,"b" : 7}',
+        '{"a":8.5}', "{'a':9}", '{"d":NaN}', '{"a":10', '{"a":11,"b":null}', ' {"a":12}',
+    ]
+    (tmp_path / "1.json").write_text("\n".join(lines) + "\n")
+    rows = _rescued_lines(spark.read, str(tmp_path), SCHEMA, True, {}).collect()
+    found = sorted(map(tuple, rows), key=str)
+    expected = [
+        (1, 2.5, "x:y", None, None), (2, None, None, None, None), (None, None, "z", None, None), (3, None, None, None, None),
+        (None, None, None, None, None), (4, None, None, None, None), (5, None, None, None, None), (6, None, None, None, '{"b":7}'),
+        (None, None, None, None, '{"a":8.5}'), (9, None, None, None, None), (None, None, None, '{"d":NaN}', None),
+        (None, None, None, '{"a":10', None), (11, None, None, None, None), (12, None, None, None, None),
+    ]
+    assert found == sorted(expected, key=str)
