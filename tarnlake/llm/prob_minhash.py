@@ -30,6 +30,8 @@ SKETCH_AGREES = 38
 ODD_BITS = 1024
 #: Rounds that link the open members of a bucket to one of them before all are compared.
 STAR_ROUNDS = 2
+#: Rarest elements that a member carries, so that a pair is met at one of those it shares and not at each.
+CARRIED = 32
 
 
 def counted(texts: pa.Array, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -227,6 +229,17 @@ def _elements(batches):
             )
 
 
+def _met(rare: DataFrame, similar: float) -> DataFrame:
+    """Possible pairs among the rows of members with a rare element; most come once."""
+    one = rare.select(F.col("member").alias("one"), F.col("rarest").alias("one_rarest"), "element")
+    other = rare.select(F.col("member").alias("other"), F.col("rarest").alias("other_rarest"), F.col("element").alias("__element"))
+    apart = (F.col("one.doc_id") < F.col("other.doc_id")) & (F.col("one.component") != F.col("other.component"))
+    least = F.array_min(F.array_intersect("one_rarest", "other_rarest"))
+    once = F.coalesce(F.col("element") == least, F.lit(True))
+    met = one.join(other, (F.col("element") == F.col("__element")) & apart & _may_be_near("one", "other", similar) & once)
+    return met.select(*_pair("one", "other"))
+
+
 def _rare(members: DataFrame, texts: DataFrame, similar: float, stage: Stage) -> DataFrame:
     """Possible pairs of members in different components that share a rare element of each.
 
@@ -236,6 +249,9 @@ def _rare(members: DataFrame, texts: DataFrame, similar: float, stage: Stage) ->
     0.8, came before (prefix filtering, Chaudhuri et al., 2006, by weight). Rare elements come
     first. A passage that thousands of texts share is no rare element of texts that have
     enough of their own, so these never meet; repeated runs change nothing in this.
+
+    Of the elements that both carry among their ``CARRIED`` rarest, a pair is met at the least
+    alone; one that shares none of these is met at each rare element it shares.
     """
     own = stage.put(members.select(F.struct(*MEMBER).alias("member"), "doc_id").distinct(), "rare-members")
     ids = small_or_not(own).select(F.col("doc_id").alias("wanted"))
@@ -249,11 +265,13 @@ def _rare(members: DataFrame, texts: DataFrame, similar: float, stage: Stage) ->
     )
     total = F.col("member.total")
     early = total - F.col("shared") + F.col("rarer") <= total * F.lit(1 - similar + 1e-9)
-    rare = stage.put(own.join(shared, "doc_id").where(early).select("member", "element"), "rare")
-    one, other = rare.withColumnRenamed("member", "one"), rare.select(F.col("member").alias("other"), F.col("element").alias("__element"))
-    apart = (F.col("one.doc_id") < F.col("other.doc_id")) & (F.col("one.component") != F.col("other.component"))
-    met = one.join(other, (F.col("element") == F.col("__element")) & apart & _may_be_near("one", "other", similar))
-    return met.select(*_pair("one", "other")).distinct()
+    placed = own.join(shared, "doc_id").where(early)
+    # Of each member, as ids that repeat have members of their own.
+    of_member = Window.partitionBy("doc_id", "member")
+    leading = F.row_number().over(of_member.orderBy("rarer", "element")) <= CARRIED
+    rarest = F.collect_list(F.when(F.col("leading"), F.col("element"))).over(of_member).alias("rarest")
+    rare = stage.put(placed.withColumn("leading", leading).select("member", "element", rarest), "rare")
+    return _met(rare, similar).distinct()
 
 
 def _open(members: DataFrame) -> DataFrame:
