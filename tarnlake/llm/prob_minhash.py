@@ -230,13 +230,23 @@ def _elements(batches):
 
 
 def _met(rare: DataFrame, similar: float) -> DataFrame:
-    """Possible pairs among the rows of members with a rare element; most come once."""
-    one = rare.select(F.col("member").alias("one"), F.col("rarest").alias("one_rarest"), "element")
-    other = rare.select(F.col("member").alias("other"), F.col("rarest").alias("other_rarest"), F.col("element").alias("__element"))
+    """Possible pairs among the rows of members with a rare element; most come once.
+
+    ``own`` is the share of a text's runs that stands before the element. Where that is the first
+    that two texts have in common, shares a and b of theirs are in no common element, and their
+    similarity is at most (1 - a) (1 - b) / (1 - a b).
+    """
+    one = rare.select(F.col("member").alias("one"), F.col("rarest").alias("one_rarest"), F.col("own").alias("one_own"), "element")
+    other = rare.select(
+        F.col("member").alias("other"), F.col("rarest").alias("other_rarest"), F.col("own").alias("other_own"),
+        F.col("element").alias("__element"),
+    )
     apart = (F.col("one.doc_id") < F.col("other.doc_id")) & (F.col("one.component") != F.col("other.component"))
-    least = F.array_min(F.array_intersect("one_rarest", "other_rarest"))
-    once = F.coalesce(F.col("element") == least, F.lit(True))
-    met = one.join(other, (F.col("element") == F.col("__element")) & apart & _may_be_near("one", "other", similar) & once)
+    shared = (F.lit(1) - F.col("one_own")) * (F.lit(1) - F.col("other_own"))
+    enough = shared >= (F.lit(1) - F.col("one_own") * F.col("other_own")) * F.lit(similar - 1e-9)
+    first = F.get(F.array_intersect("one_rarest", "other_rarest"), F.lit(0))
+    once = F.coalesce(F.col("element") == first, F.lit(True))
+    met = one.join(other, (F.col("element") == F.col("__element")) & enough & apart & _may_be_near("one", "other", similar) & once)
     return met.select(*_pair("one", "other"))
 
 
@@ -250,7 +260,7 @@ def _rare(members: DataFrame, texts: DataFrame, similar: float, stage: Stage) ->
     first. A passage that thousands of texts share is no rare element of texts that have
     enough of their own, so these never meet; repeated runs change nothing in this.
 
-    Of the elements that both carry among their ``CARRIED`` rarest, a pair is met at the least
+    Of the elements that both carry among their ``CARRIED`` rarest, a pair is met at the first
     alone; one that shares none of these is met at each rare element it shares.
     """
     own = stage.put(members.select(F.struct(*MEMBER).alias("member"), "doc_id").distinct(), "rare-members")
@@ -264,13 +274,14 @@ def _rare(members: DataFrame, texts: DataFrame, similar: float, stage: Stage) ->
         (F.sum("weight").over(of_text.orderBy("texts", "element")) - F.col("weight")).alias("rarer"),
     )
     total = F.col("member.total")
-    early = total - F.col("shared") + F.col("rarer") <= total * F.lit(1 - similar + 1e-9)
-    placed = own.join(shared, "doc_id").where(early)
+    before = (total - F.col("shared") + F.col("rarer")) / total
+    placed = own.join(shared, "doc_id").withColumn("own", before).where(F.col("own") <= F.lit(1 - similar + 1e-9))
     # Of each member, as ids that repeat have members of their own.
-    of_member = Window.partitionBy("doc_id", "member")
-    leading = F.row_number().over(of_member.orderBy("rarer", "element")) <= CARRIED
-    rarest = F.collect_list(F.when(F.col("leading"), F.col("element"))).over(of_member).alias("rarest")
-    rare = stage.put(placed.withColumn("leading", leading).select("member", "element", rarest), "rare")
+    of_member = Window.partitionBy("doc_id", "member").orderBy("rarer", "element")
+    leading = F.row_number().over(of_member) <= CARRIED
+    whole = of_member.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rarest = F.collect_list(F.when(F.col("leading"), F.col("element"))).over(whole).alias("rarest")
+    rare = stage.put(placed.withColumn("leading", leading).select("member", "element", "own", rarest), "rare")
     return _met(rare, similar).distinct()
 
 
