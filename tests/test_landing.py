@@ -1,9 +1,14 @@
 """Landed lines: files of bounded length, and each line taken apart once."""
 
+from pathlib import Path
+
+from fixtures import ORDERS_CLEAN, dims, frame, lake, land_array
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tarnlake.operators import enrich
 from tarnlake.plans import landing
+from tarnlake.plans.star import ORDERS
 from tarnlake.sources.schema_log import filled_back
 from tarnlake.streaming.ingest import _rescued_lines
 
@@ -54,3 +59,40 @@ def test_lines_of_every_form(spark, tmp_path):
         (None, None, None, '{"a":10', None), (11, None, None, None, None), (12, None, None, None, None),
     ]
     assert found == sorted(expected, key=str)
+
+
+def shuffle_files(spark):
+    """Names of the shuffle files that this session's executor holds."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+    names = set()
+    while files.hasNext():
+        names.add(files.next().getName())
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+def test_landed_lines_take_little_room(spark, tmp_path):
+    """What lies on disk: files well below those of a fast codec, and no shuffle of the rows."""
+    facts = spark.range(20_000).selectExpr("id AS fact_order_key", "id * 7919 % 10007 AS product_key", "rand(1) AS unit_price")
+    before = shuffle_files(spark)
+    landing.land_lines(facts.repartition(2, "product_key"), f"{tmp_path}/in")
+    assert shuffle_files(spark) <= before
+    facts.write.option("compression", "lz4").json(f"{tmp_path}/fast")
+    size = {name: sum(file.stat().st_size for file in (tmp_path / name).glob("part-*")) for name in ("in", "fast")}
+    assert size["in"] < 0.75 * size["fast"]
+    assert spark.read.json(f"{tmp_path}/in").select(*facts.columns).exceptAll(facts).count() == 0
+
+
+def test_silver_meets_dimensions_a_part_at_a_time(spark, tmp_path, conf):
+    """Dimensions too large to copy: rows are shuffled in bounded parts, and none of it stays on disk."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    lk = lake(spark, tmp_path / "lake", silver_max_files=2)
+    lk.load_dims(dims(spark))
+    for number in range(5):
+        land_array(tmp_path / "in", f"{number}.json", ORDERS_CLEAN)
+        lk.bronze(ORDERS, str(tmp_path / "in"))
+    before = shuffle_files(spark)
+    silver = lk.silver(ORDERS)
+    assert shuffle_files(spark) <= before
+    batches = list(Path(lk._stream_folders(ORDERS, "silver")["checkpoint"], "commits").glob("[0-9]*"))
+    assert len(batches) == 3
+    assert silver.count() == 5 * enrich(frame(spark, ORDERS_CLEAN, ORDERS.schema), dims(spark), ORDERS.roles).count()
